@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from docweave.llm.fingerprint import op4_fingerprint
 from docweave.llm.langid import op10_language
 from docweave.llm.media import op2_media
 from docweave.llm.mixing import OP7_SQL, op7_mixing
 from docweave.llm.packing import op3_packing
+from docweave.llm.simhash import op5_simhash
 
-QUERIES = {f.__name__: f for f in (op2_media, op3_packing, op7_mixing, op10_language)}
+QUERIES = {f.__name__: f for f in (op2_media, op3_packing, op4_fingerprint, op5_simhash, op7_mixing, op10_language)}
 ORACLES = {"op7_mixing": OP7_SQL}
