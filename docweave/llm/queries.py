@@ -8,6 +8,8 @@ from docweave.llm.media import op2_media
 from docweave.llm.mixing import OP7_SQL, op7_mixing
 from docweave.llm.packing import op3_packing
 from docweave.llm.simhash import op5_simhash
+from docweave.llm.substrings import op9_substrings
+from docweave.llm.suffixes import op6_suffixes
 
-QUERIES = {f.__name__: f for f in (op2_media, op3_packing, op4_fingerprint, op5_simhash, op7_mixing, op10_language)}
+QUERIES = {f.__name__: f for f in (op2_media, op3_packing, op4_fingerprint, op5_simhash, op6_suffixes, op7_mixing, op9_substrings, op10_language)}
 ORACLES = {"op7_mixing": OP7_SQL}
