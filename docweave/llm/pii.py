@@ -28,6 +28,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docweave.functions.find import let, running
 from docweave.llm.common import settle, text_of
 
 KINDS = ("email", "ip", "card", "phone")
@@ -47,33 +48,12 @@ SUPPORT = 3
 ROUNDS = 3
 ACCEPT = 0.8
 NEAR = 60
-CHUNK = 64
-
-
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` evaluated once, however often the body and its lambdas use it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def _total(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0), lambda a, b: a + b)
 
 
-def before(numbers: Column) -> Column:
-    """For each element of an array of ints, the sum of those before it; sums go by chunks, so long arrays stay cheap."""
-
-    def by_chunk(own: Column) -> Column:
-        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(own) - 1) / CHUNK).cast("int")), lambda c: _total(F.slice(own, c * CHUNK + 1, F.lit(CHUNK))))
-
-        def by_row(sums: Column) -> Column:
-            starts = F.transform(sums, lambda _, c: _total(F.slice(sums, F.lit(1), c)))
-            return let(starts, lambda s: F.transform(own, lambda _, i: s[F.floor(i / CHUNK).cast("int")] + _total(F.slice(own, F.floor(i / CHUNK).cast("int") * CHUNK + 1, i % CHUNK))))
-
-        return let(chunks, by_row)
-
-    return F.when(F.size(numbers) > 0, let(numbers, by_chunk)).otherwise(F.array().cast("array<int>"))
-
-
 def _valid(kind: str, match: Column) -> Column:
     if kind == "email":
         return F.lit(True)
@@ -106,7 +86,7 @@ def _matches(text: Column, pattern: str, make: Callable[[Column, Column, Column]
     def of(found: Column) -> Column:
         def cut(gaps: Column) -> Column:
             steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, m: F.length(g) + F.length(m))
-            return let(before(steps), lambda sums: F.transform(found, lambda m, i: make(m, sums[i] + F.length(gaps[i]), gaps[i])))
+            return let(running(steps), lambda sums: F.transform(found, lambda m, i: make(m, sums[i] + F.length(gaps[i]), gaps[i])))
 
         return let(F.split(text, pattern, -1), cut)
 
