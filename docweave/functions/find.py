@@ -86,3 +86,25 @@ def merge_near(text: Column, spans: Column, gap: int, connector: str) -> Column:
 def distance(a: Column, b: Column) -> Column:
     """How many characters part two spans; 0 if they touch or overlap."""
     return F.greatest(F.lit(0), b["start"] - a["end"], a["start"] - b["end"])
+
+
+def replace_matches(text: Column, pattern: str, make: Callable[[Column], Column]) -> Column:
+    """The text with every match m of a pattern (never empty) replaced by ``make(m)``, which may compute."""
+
+    def rebuilt(found: Column) -> Column:
+        parts = F.concat(F.transform(found, make), F.array(F.lit("")))
+        return F.array_join(F.zip_with(F.split(text, pattern, -1), parts, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
+
+    return F.when(text.rlike(pattern), let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), rebuilt)).otherwise(text)
+
+
+def replace_spans(text: Column, spans: Column, make: Callable[[Column], Column]) -> Column:
+    """The text with every span (sorted, disjoint) replaced by ``make(span)``."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    joined = F.aggregate(
+        spans,
+        start,
+        lambda acc, s: F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), make(s)).alias("out")),
+        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
+    )
+    return F.when(F.size(spans) == 0, text).otherwise(joined)
