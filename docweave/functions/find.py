@@ -42,14 +42,17 @@ def find_all(text: Column, pattern: str) -> Column:
     Spark has no function that tells where matches are; the pieces between them do.
     """
 
-    def places(found: Column) -> Column:
-        def cut(gaps: Column) -> Column:
-            steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, m: F.length(g) + F.length(m))
-            return let(running(steps), lambda sums: F.transform(found, lambda m, i: _span(sums[i] + F.length(gaps[i]), m)))
+    def of(t: Column) -> Column:
+        def places(found: Column) -> Column:
+            def cut(gaps: Column) -> Column:
+                steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, m: F.length(g) + F.length(m))
+                return let(running(steps), lambda sums: F.transform(found, lambda m, i: _span(sums[i] + F.length(gaps[i]), m)))
 
-        return let(F.split(text, pattern, -1), cut)
+            return let(F.split(t, pattern, -1), cut)
 
-    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), places)
+        return let(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), places)
+
+    return let(text, of)
 
 
 def _span(start: Column, match: Column) -> Column:
@@ -91,11 +94,14 @@ def distance(a: Column, b: Column) -> Column:
 def replace_matches(text: Column, pattern: str, make: Callable[[Column], Column]) -> Column:
     """The text with every match m of a pattern (never empty) replaced by ``make(m)``, which may compute."""
 
-    def rebuilt(found: Column) -> Column:
-        parts = F.concat(F.transform(found, make), F.array(F.lit("")))
-        return F.array_join(F.zip_with(F.split(text, pattern, -1), parts, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
+    def of(t: Column) -> Column:
+        def rebuilt(found: Column) -> Column:
+            parts = F.concat(F.transform(found, make), F.array(F.lit("")))
+            return F.array_join(F.zip_with(F.split(t, pattern, -1), parts, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
+
+        return F.when(t.rlike(pattern), let(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), rebuilt)).otherwise(t)
 
-    return F.when(text.rlike(pattern), let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), rebuilt)).otherwise(text)
+    return let(text, of)
 
 
 def replace_spans(text: Column, spans: Column, make: Callable[[Column], Column]) -> Column:

@@ -159,8 +159,7 @@ def in_words(number: Column) -> Column:
 
 def with_commas(number: Column) -> Column:
     """Groups of three digits; decimals stay as they are."""
-    text = plain(number)
-    return F.concat(F.regexp_replace(F.regexp_extract(text, r"^(-?\d+)", 1), r"(?<=\d)(?=(?:\d{3})+$)", ","), F.regexp_extract(text, r"(\.\d+)$", 1))
+    return let(plain(number), lambda n: F.concat(F.regexp_replace(F.regexp_extract(n, r"^(-?\d+)", 1), r"(?<=\d)(?=(?:\d{3})+$)", ","), F.regexp_extract(n, r"(\.\d+)$", 1)))
 
 
 _MAGNITUDES = ((1e12, " trillion", "T", "T"), (1e9, " billion", "B", "B"), (1e6, " million", "M", "MM"), (1e3, " thousand", "K", "M"))
@@ -168,6 +167,10 @@ _MAGNITUDES = ((1e12, " trillion", "T", "T"), (1e9, " billion", "B", "B"), (1e6,
 
 def in_magnitude(number: Column, style: str = "long") -> Column:
     """2.5 million, 2.5M or 2.5MM: style long, short or financial."""
+    return let(number, lambda n: _magnitude(n, style))
+
+
+def _magnitude(number: Column, style: str) -> Column:
     which = {"long": 1, "short": 2, "financial": 3}[style]
     out = None
     for row in _MAGNITUDES:
@@ -178,7 +181,7 @@ def in_magnitude(number: Column, style: str = "long") -> Column:
 
 def in_short_words(number: Column) -> Column:
     """In words where that takes two at most, else with commas."""
-    return let(in_words(number), lambda w: F.when((number == F.floor(number)) & (F.size(F.split(w, " ")) <= 2), w).otherwise(with_commas(number)))
+    return let(number, lambda n: let(in_words(n), lambda w: F.when((n == F.floor(n)) & (F.size(F.split(w, " ")) <= 2), w).otherwise(with_commas(n))))
 
 
 def restyled(text: Column, style: str = "random") -> Column:
@@ -189,11 +192,14 @@ def restyled(text: Column, style: str = "random") -> Column:
         choice = {"original": F.lit(0), "commas": F.lit(1), "words": F.lit(2)}.get(style, F.pmod(i + stable_hash(m), F.lit(3)))
         return F.when((choice == 0) | (F.length(m) > 15), m).when(choice == 1, with_commas(n)).otherwise(in_short_words(n))
 
-    def rebuilt(found: Column) -> Column:
-        parts = F.concat(F.transform(found, form), F.array(F.lit("")))
-        return F.array_join(F.zip_with(F.split(text, r"\b\d+\b", -1), parts, lambda g, m: F.concat(g, m)), "")
+    def of(t: Column) -> Column:
+        def rebuilt(found: Column) -> Column:
+            parts = F.concat(F.transform(found, form), F.array(F.lit("")))
+            return F.array_join(F.zip_with(F.split(t, r"\b\d+\b", -1), parts, lambda g, m: F.concat(g, m)), "")
+
+        return F.when(t.rlike(r"\d"), let(F.regexp_extract_all(t, F.lit(r"\b\d+\b"), F.lit(0)), rebuilt)).otherwise(t)
 
-    return F.when(text.rlike(r"\d"), let(F.regexp_extract_all(text, F.lit(r"\b\d+\b"), F.lit(0)), rebuilt)).otherwise(text)
+    return let(text, of)
 
 
 def rounded(number: Column, digits: int) -> Column:

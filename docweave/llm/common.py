@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: A word, wherever an operator counts or shingles words: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Whether the files of a query's shuffles go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _OWN: dict[str, str] = {}
 
 
@@ -45,10 +47,17 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back: its lineage ends there.
 
     A lost executor then costs a re-read, never a recomputation, and values such as row ids stay as they were written.
+    What was shuffled for the table is removed as soon as it is written.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_of(column: str | Column) -> Column:

@@ -9,10 +9,12 @@ windows that also occur elsewhere without a row per window:
 * Buckets. Runs are bucketed by the q-gram of their anchor, and within a bucket refined by the identity of all they
   cover. A run whose identity also occurs earlier is a repeat as a whole. A bucket that holds one identity has no other
   repeats: of most q-grams nothing more is looked at.
-* Windows. In a bucket of several identities, only the earliest run of each is taken apart into windows, read from its
-  document's text; a window's bucket is the same q-gram with the window's own identity.
+* Parts. In a bucket of several identities, only the earliest run of each is taken apart, read from its document's text,
+  into shorter runs (``parts``) at fixed places from the anchor, and at last into single windows. The bucket of a part is
+  what all windows at its place share: where that occurs once, nothing in the part repeats; where it has one identity,
+  the part repeats as a whole; the rest goes on to the next, finer parts.
 
-Both steps are the same refinement: sort by (q-gram, identity, place) and let each one's first stand for the others.
+All steps are the same refinement: sort by (bucket, identity, place) and let each one's first stand for the others.
 Before each shuffle a batch is refined on its own, so copies that many rows share cross it once per batch; a q-gram
 with many identities within a batch is dealt by identity instead, after a marker that its bucket has several. What is
 spared that way only saves work; every repeat is decided by identities of 128 bits (q-gram and content).
@@ -40,18 +42,19 @@ BLOCK = 1 << 20
 MANY = 8
 BASE = np.uint64(0x9E3779B97F4A7C13)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-RUNS = "gram long, same long, key long, mark int, start int, many int, route int"
-FOUND = "key long, mark int, start int, many int, gram long"
+RUNS = "gram long, same long, key long, mark int, start int, many int, lead int, route int"
+FOUND = "key long, mark int, start int, many int, gram long, lead int"
 
 
 @dataclass(frozen=True)
 class Windows:
-    """``items``: the items of a text as unsigned 64-bit numbers; ``length`` of a window, ``q`` of an anchor."""
+    """``items``: the items of a text as unsigned 64-bit numbers; ``length`` of a window, ``q`` of an anchor; ``parts``: windows of a part, finer and finer to 1."""
 
     items: Callable[[str], np.ndarray]
     length: int
     q: int
     same_document: bool
+    parts: tuple[int, ...] = (1,)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -92,7 +95,7 @@ def _anchors(grams: np.ndarray, window: int) -> np.ndarray:
 
 
 def runs(items: np.ndarray, w: Windows) -> tuple[np.ndarray, ...] | None:
-    """(gram, same, start, many) of the runs of windows of a sequence; None if it is shorter than a window."""
+    """(gram, same, start, many, lead) of the runs of windows of a sequence; None if it is shorter than a window. ``lead``: from the start to the anchor."""
     if len(items) < w.length:
         return None
     h = Hashes(items)
@@ -103,7 +106,7 @@ def runs(items: np.ndarray, w: Windows) -> tuple[np.ndarray, ...] | None:
     many = np.diff(np.r_[start, len(anchor)])
     place = anchor[start]
     same = mixed(h.of(start, start + many + (w.length - 1)) ^ (((place - start) << 32) | many).astype(np.uint64))
-    return grams[place], same, start, many
+    return grams[place], same, start, many, place - start
 
 
 def _blocks(items: np.ndarray, w: Windows) -> Iterator[tuple[int, np.ndarray]]:
@@ -139,24 +142,24 @@ def _batch(names: str, *columns: np.ndarray | None, n: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, [name for name, _ in fields])
 
 
-def _collapse(gram, same, key, mark, start, many, w: Windows) -> Iterator[pa.RecordBatch]:
+def _collapse(gram, same, key, mark, start, many, lead, w: Windows) -> Iterator[pa.RecordBatch]:
     """Refine one batch: rows of RUNS, of which those without gram are repeats found already, and those without key markers."""
     order = np.lexsort((start, mark, key, same, gram))
-    gram, same, key, mark, start, many = (c[order] for c in (gram, same, key, mark, start, many))
+    gram, same, key, mark, start, many, lead = (c[order] for c in (gram, same, key, mark, start, many, lead))
     _, repeat = _repeats(gram, same, key, mark, start, w)
     if repeat.any():
-        yield _batch(RUNS, None, None, key[repeat], mark[repeat], start[repeat], many[repeat], (mixed(key[repeat].astype(np.uint64)) >> np.uint64(33)).astype(np.int64), n=int(repeat.sum()))
-        gram, same, key, mark, start, many = (c[~repeat] for c in (gram, same, key, mark, start, many))
+        yield _batch(RUNS, None, None, key[repeat], mark[repeat], start[repeat], many[repeat], None, (mixed(key[repeat].astype(np.uint64)) >> np.uint64(33)).astype(np.int64), n=int(repeat.sum()))
+        gram, same, key, mark, start, many, lead = (c[~repeat] for c in (gram, same, key, mark, start, many, lead))
     new = _first(gram)
     at = np.cumsum(new) - 1
     several = np.bincount(at[_first(gram, same)], minlength=at[-1] + 1 if len(at) else 0)[at] >= MANY if len(at) else np.zeros(0, bool)
     route = (gram >> np.uint64(33)).astype(np.int64)
     marker = new & several
     if marker.any():
-        yield _batch(RUNS, gram[marker], None, None, None, None, None, route[marker], n=int(marker.sum()))
+        yield _batch(RUNS, gram[marker], None, None, None, None, None, None, route[marker], n=int(marker.sum()))
     route = np.where(several, (mixed(gram ^ same) >> np.uint64(33)).astype(np.int64), route)
     mark_many = np.where(several, -many, many)  # a negative number says that the bucket has several identities
-    yield _batch(RUNS, gram, same, key, mark, start, mark_many, route, n=len(gram))
+    yield _batch(RUNS, gram, same, key, mark, start, mark_many, lead, route, n=len(gram))
 
 
 def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -179,8 +182,8 @@ def _cut(w: Windows) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
                 for at, block in _blocks(items, w):
                     found = runs(block, w)
                     if found is not None:
-                        gram, same, start, many = found
-                        parts.append((gram, same, np.full(len(gram), key), np.full(len(gram), mark), start + at, many))
+                        gram, same, start, many, lead = found
+                        parts.append((gram, same, np.full(len(gram), key), np.full(len(gram), mark), start + at, many, lead))
                         held += len(gram)
                 if held > 2_000_000:
                     yield from _gather(parts, w)
@@ -190,8 +193,24 @@ def _cut(w: Windows) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
     return run
 
 
-def _apart(w: Windows) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """From (key, mark, text, runs array<struct<start, many, gram>>): the windows of the runs."""
+def _parts(block: np.ndarray, start: np.ndarray, many: np.ndarray, lead: np.ndarray, gram: np.ndarray, part: int, w: Windows) -> tuple[np.ndarray, ...]:
+    """(gram, same, start, many, lead) of the parts of runs that lie in a block."""
+    run = np.repeat(np.arange(len(start)), many)
+    first = np.arange(len(run)) - np.repeat(np.cumsum(many) - many, many) + start[run]
+    anchor = start[run] + lead[run]
+    slot = (anchor - first) // part
+    at = np.flatnonzero(_first(run, slot))
+    own, slot, anchor, first = run[at], slot[at], anchor[at], first[at]
+    size = np.diff(np.r_[at, len(run)])
+    h = Hashes(block)
+    shared = anchor - part * slot
+    bucket = mixed(h.of(shared, shared - (part - 1) + w.length) ^ mixed(gram[own] + slot.astype(np.uint64)))
+    same = mixed(h.of(first, first + size + (w.length - 1)) ^ (((anchor - first) << 32) | size).astype(np.uint64))
+    return bucket, same, first, size, anchor - first
+
+
+def _apart(w: Windows, part: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From (key, mark, text, runs array<struct<start, many, lead, gram>>): the parts of the runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,15 +218,13 @@ def _apart(w: Windows) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
             for key, mark, text, own in zip(*_keys(batch), batch.column(2), batch.column(3), strict=True):
                 items = w.items(text.as_py())
                 fields = own.values
-                start, many = (fields.field(i).to_numpy().astype(np.int64) for i in (0, 1))
-                gram = fields.field(2).to_numpy().view(np.uint64)
+                start, many, lead = (fields.field(i).to_numpy().astype(np.int64) for i in range(3))
+                gram = fields.field(3).to_numpy().view(np.uint64)
                 for at, block in _blocks(items, w):
                     mine = (start >= at) & (start < at + BLOCK)
                     if mine.any():
-                        n = many[mine]
-                        first = np.repeat(start[mine] - at, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                        same = Hashes(block).of(first, first + w.length)
-                        parts.append((np.repeat(gram[mine], n), same, np.full(len(same), key), np.full(len(same), mark), first + at, np.ones(len(same), np.int64)))
+                        bucket, same, first, size, to = _parts(block, start[mine] - at, many[mine], lead[mine], gram[mine], part, w)
+                        parts.append((bucket, same, np.full(len(same), key), np.full(len(same), mark), first + at, size, to))
                         held += len(same)
                 if held > 2_000_000:
                     yield from _gather(parts, w)
@@ -229,17 +246,17 @@ def _refine(w: Windows, ask: bool) -> Callable[[Iterator[pa.RecordBatch]], Itera
         lead_key = several = None
         alone: list[tuple] = []  # leaders of the bucket's only identity so far
         for batch in batches:
-            gram, same, key, mark, start, many = (batch.column(i) for i in range(6))
+            gram = batch.column(0)
             known = gram.is_null()
             if known.true_count:
                 found = batch.filter(known)
-                yield _batch(FOUND, *(found.column(i).to_numpy() for i in range(2, 6)), None, n=found.num_rows)
+                yield _batch(FOUND, *(found.column(i).to_numpy() for i in range(2, 6)), None, None, n=found.num_rows)
             rest = batch.filter(gram.is_valid())
             if not rest.num_rows:
                 continue
             marker = rest.column(2).is_null().to_numpy(zero_copy_only=False)
             gram = rest.column(0).to_numpy().view(np.uint64)
-            same, key, mark, start, many = (rest.column(i).fill_null(0).to_numpy() for i in range(1, 6))
+            same, key, mark, start, many, to = (rest.column(i).fill_null(0).to_numpy() for i in range(1, 7))
             same = same.view(np.uint64)
             n = len(gram)
             new_gram, new_same = _first(gram), _first(gram, same, marker)
@@ -256,7 +273,7 @@ def _refine(w: Windows, ask: bool) -> Callable[[Iterator[pa.RecordBatch]], Itera
                 repeat |= follows
             repeat &= ~marker
             if repeat.any():
-                yield _batch(FOUND, key[repeat], mark[repeat], start[repeat], np.abs(many[repeat]), None, n=int(repeat.sum()))
+                yield _batch(FOUND, key[repeat], mark[repeat], start[repeat], np.abs(many[repeat]), None, None, n=int(repeat.sum()))
             if ask:
                 # buckets of several identities: a marker, a flag, or a second identity
                 bucket = np.cumsum(new_gram)
@@ -274,11 +291,11 @@ def _refine(w: Windows, ask: bool) -> Callable[[Iterator[pa.RecordBatch]], Itera
                     yield from self_rows(alone)
                     alone = []
                 if ripe.any():
-                    yield _batch(FOUND, key[ripe], mark[ripe], start[ripe], np.abs(many[ripe]), gram[ripe], n=int(ripe.sum()))
+                    yield _batch(FOUND, key[ripe], mark[ripe], start[ripe], np.abs(many[ripe]), gram[ripe], to[ripe], n=int(ripe.sum()))
                 several = score[bucket[-1]]
                 if several < 2:
                     wait = leader & open_at
-                    alone += [tuple(x) for x in zip(key[wait].tolist(), mark[wait].tolist(), start[wait].tolist(), np.abs(many[wait]).tolist(), gram[wait].tolist(), strict=True)]
+                    alone += [tuple(x) for x in zip(key[wait].tolist(), mark[wait].tolist(), start[wait].tolist(), np.abs(many[wait]).tolist(), gram[wait].tolist(), to[wait].tolist(), strict=True)]
             last, lead_key = (gram[-1], same[-1], key[-1], mark[-1], marker[-1]), lead[-1]
 
     def self_rows(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -302,10 +319,13 @@ def earlier_repeats(df: DataFrame, w: Windows, key: str, text: str) -> DataFrame
     rows = df.select(F.col(key).cast("long").alias("_key"), F.crc32(F.encode(value, "UTF-8")).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("_mark"), value.alias("_text"))
     cut = rows.mapInArrow(_cut(w), RUNS)
     found = settle(_sorted(cut).mapInArrow(_refine(w, True), FOUND), "runs")
-    asked = found.where("gram is not null").groupBy("key", "mark").agg(F.collect_list(F.struct("start", "many", "gram")).alias("runs"))
-    apart = _with_text(rows, asked, "inner").select("_key", "_mark", "_text", "runs").mapInArrow(_apart(w), RUNS)
-    more = settle(_sorted(apart).mapInArrow(_refine(w, False), FOUND), "windows")
-    spans = found.where("gram is null").union(more).groupBy("key", "mark").agg(F.collect_list(F.struct("start", "many")).alias("spans"))
+    repeats = found.where("gram is null").select("key", "mark", "start", "many")
+    for part in w.parts:
+        asked = found.where("gram is not null").groupBy("key", "mark").agg(F.collect_list(F.struct("start", "many", "lead", "gram")).alias("runs"))
+        apart = _with_text(rows, asked, "inner").select("_key", "_mark", "_text", "runs").mapInArrow(_apart(w, part), RUNS)
+        found = settle(_sorted(apart).mapInArrow(_refine(w, part > 1), FOUND), f"parts-{part}")
+        repeats = repeats.union(found.where("gram is null").select("key", "mark", "start", "many"))
+    spans = repeats.groupBy("key", "mark").agg(F.collect_list(F.struct("start", "many")).alias("spans"))
     return _with_text(rows, spans, "left").select("_key", "_mark", "_text", "spans")
 
 

@@ -4,8 +4,8 @@ Suffixes that agree in their first 100 bytes are sorted into the same bucket; wh
 its bucket. Initial buckets are those of q-grams (32 bytes), taken at the anchors of the 100-byte strings (the smallest
 q-gram of each, so every string has its anchor at the same place wherever it occurs). Buckets of one member end there.
 The others are refined by sorting on identifiers at later offsets: first of all that a run of strings around the anchor
-spans, and then, for runs whose bucket still holds several, of each single string; a refined bucket is the parent for
-the next sort (``docweave.llm.repeats``). Sorting deeper than 100 bytes would decide nothing, so refinement ends there.
+spans, then, for runs whose bucket still holds several, of parts of eight strings and at last of each single string; a
+refined bucket is the parent for the next sort (``docweave.llm.repeats``). Sorting deeper than 100 bytes would decide nothing, so refinement ends there.
 
 A byte is removed if a 100-byte string that covers it also starts earlier: in a document with a smaller key, or earlier
 in the same. Strings are judged on the input. Null texts are empty; texts shorter than 100 bytes lose nothing. Rows of
@@ -34,7 +34,7 @@ def byte_items(text: str) -> np.ndarray:
 
 def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, q: int = Q) -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept): every row's bytes without what also starts earlier; kept is binary."""
-    found = earlier_repeats(df, Windows(byte_items, length, q, True), key, text)
+    found = earlier_repeats(df, Windows(byte_items, length, q, True, (8, 1)), key, text)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

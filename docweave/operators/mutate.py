@@ -50,11 +50,14 @@ def numbers(values: Column, seed: Column, strategy: str = "shared_scale") -> Col
     """
     if strategy not in STRATEGIES:
         raise ValueError(strategy)
-    largest = F.coalesce(F.array_max(F.transform(values, F.abs)), F.lit(0.0))
     if strategy == "random":
         shared = [numbers(values, seed, s) for s in STRATEGIES[1:4]]
         lone = [numbers(values, seed, s) for s in STRATEGIES[4:6]]
         return F.when(F.size(values) == 1, chosen([*shared, *lone], seed, F.lit("pick"))).otherwise(chosen(shared, seed, F.lit("pick")))
+    return let(values, lambda own: let(F.coalesce(F.array_max(F.transform(own, F.abs)), F.lit(0.0)), lambda largest: _vary(own, largest, seed, strategy)))
+
+
+def _vary(values: Column, largest: Column, seed: Column, strategy: str) -> Column:
 
     def vary(n: Column, i: Column) -> Column:
         lone = [seed, i, F.lit("n")]
@@ -91,8 +94,17 @@ def _varied(text: Column, seed: Column, strategy: str) -> Column:
     return numbers(F.array(_first_number(text)), seed, strategy)[0]
 
 
+def _of(text: Column, seed: Column, body) -> Column:
+    """``body`` over a text and a seed that are evaluated once."""
+    return let(F.struct(text.alias("t"), seed.alias("s")), lambda x: body(x["t"], x["s"]))
+
+
 def money(text: Column, seed: Column, strategy: str = "shared_scale") -> Column:
     """An amount varied and restyled; no decimals from 10,000 on."""
+    return _of(text, seed, lambda t, s: _money(t, s, strategy))
+
+
+def _money(text: Column, seed: Column, strategy: str) -> Column:
     bare = F.regexp_replace(text, r"(?i)\s*(?:thousand|million|billion|trillion|mm|bn|[kmbt])\b", "")
     n = let(_varied(text, seed, strategy), lambda x: F.when(x >= 10_000, F.round(x)).otherwise(x))
     return let(n, lambda x: _with_number(bare, _formatted(x, seed, F.lit("f"))))
@@ -148,6 +160,10 @@ def time(text: Column, seed: Column) -> Column:
 
 def span_text(text: Column, label: Column, seed: Column) -> Column:
     """A span varied as its label asks."""
+    return let(F.struct(text.alias("t"), label.alias("l"), seed.alias("s")), lambda x: _span_text(x["t"], x["l"], x["s"]))
+
+
+def _span_text(text: Column, label: Column, seed: Column) -> Column:
     return (
         F.when(label == "TIME", time(text, seed))
         .when(label == "MONEY", money(text, seed))

@@ -243,7 +243,7 @@ def matches(text: Column, rule: Rule, marks: Column | None = None) -> Column:
         return F.transform(kept, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), label(m).alias("label")))
 
     hint = F.size(marks) > 0 if rule.bracketed else text.rlike(rule.needs)
-    return F.when(hint, let(text, found)).otherwise(F.array().cast(_NONE))
+    return F.when(hint, found(text)).otherwise(F.array().cast(_NONE))
 
 
 def first_claims(claimed: Column, spans: Column) -> Column:
@@ -262,10 +262,14 @@ def extract(df: DataFrame, text: str, to: str = "spans", chain: list[Extractor]
     marks = F.transform(find_all(source, r"<\d[\d.-]*>"), lambda m: _unbracketed(source, m))
     out = df.withColumn("_plain", tx.unbracketed(source)).withColumn("_marks", marks).withColumn("_claimed", F.array().cast(_NONE))
     for extractor in chain or extractors():
-        found = F.concat(*[matches(F.col("_seen"), rule, F.col("_marks")) for rule in extractor.rules])
-        out = out.withColumn("_seen", hidden(F.col("_plain"), F.col("_claimed"))).withColumn("_claimed", first_claims(F.col("_claimed"), found))
+        found = let(hidden(F.col("_plain"), F.col("_claimed")), _found(extractor))
+        out = out.withColumn("_claimed", first_claims(F.col("_claimed"), found))
     spans = F.transform(F.array_sort("_claimed"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["label"].alias("label"), F.substring(F.col("_plain"), s["start"] + 1, s["end"] - s["start"]).alias("text")))
-    return out.withColumn(to, _merged(F.col("_plain"), spans)).drop("_plain", "_marks", "_claimed", "_seen")
+    return out.withColumn(to, _merged(F.col("_plain"), spans)).drop("_plain", "_marks", "_claimed")
+
+
+def _found(extractor: Extractor) -> Callable[[Column], Column]:
+    return lambda seen: F.concat(*[matches(seen, rule, F.col("_marks")) for rule in extractor.rules])
 
 
 def _unbracketed(source: Column, m: Column) -> Column:
