@@ -3,7 +3,7 @@
 A page is read as a sequence of words and tags. A plain word scores +1, a tag minus ``tag``, a word inside a link minus
 ``link``, and a word inside an element that is no content by its nature or its class, id or role (menus, forms, adverts,
 notices, comments, ...) minus ``aside``. One linear scan finds the contiguous stretch with the largest sum: the content
-region. Its blocks, without links' menus and the other elements just named, are the text.
+region. The blocks it touches, whole but without links' menus and the other elements just named, are the text.
 
 The weights come from labelled pages: pages whose author marked the content with one ``article`` or ``main`` element.
 On a bounded sample of them (``fit_pages``, by a hash of the key) Spark scores each combination of a small grid by how
@@ -49,12 +49,16 @@ _HINTS = frozenset(
 _BLOCK_ENDS_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
+#: Hints that mean no more than a heading where they stand inside the article.
+_HEADINGS = frozenset(("header", "masthead", "banner"))
+
 PLAIN, LINKED, BESIDE, MARK = range(4)
 
 
 def _beside(tag: str, attributes: str, stack: list[tuple[str, bool]]) -> bool:
     """Whether an element holds no content by its nature or its attributes."""
-    if tag in _ASIDE or (tag == "header" and not any(t in ("article", "main") for t, _ in stack)):
+    inner = any(t in ("article", "main") for t, _ in stack)
+    if tag in _ASIDE or (tag == "header" and not inner):
         return True
     if tag in _WHOLE or not attributes:
         return False
@@ -62,7 +66,7 @@ def _beside(tag: str, attributes: str, stack: list[tuple[str, bool]]) -> bool:
         name = name.lower()
         if name == "hidden" or (name == "aria-hidden" and "true" in value) or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
             return True
-        if name in ("class", "id", "role") and not _HINTS.isdisjoint(re.split(r"[^a-z0-9]+", value.lower())):
+        if name in ("class", "id", "role") and _HINTS.intersection(re.split(r"[^a-z0-9]+", value.lower())) - (_HEADINGS if inner else set()):
             return True
     return False
 
@@ -163,14 +167,15 @@ def main_text(page: str | None, weights: tuple[float, float, float] = DEFAULT) -
         return ""
     steps, pieces, _ = read(page)
     first, last = best_region(steps, weights)
-    blocks, block = [], []
-    for step, text in pieces:
-        if first <= step < last and text:
+    blocks, block, inside = [], [], False
+    for step, text in [*pieces, (last, "")]:
+        if text:
             block.append(text)
-        elif block and not text:
-            blocks.append(" ".join("".join(block).split()))
-            block = []
-    blocks.append(" ".join("".join(block).split()))
+            inside |= first <= step < last
+        else:  # a block that the region touches belongs to it whole
+            if inside:
+                blocks.append(" ".join("".join(block).split()))
+            block, inside = [], False
     return "\n\n".join(filter(None, blocks))
 
 

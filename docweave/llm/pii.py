@@ -41,7 +41,7 @@ PATTERNS = {
 }
 #: What a text must hold for a kind to be searched at all.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
-BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 MASK = "\uE000"
 SUPPORT = 3
