@@ -295,5 +295,9 @@ def _merged(plain: Column, spans: Column) -> Column:
 
 
 def exploded(df: DataFrame, keys: list[str], spans: str = "spans") -> DataFrame:
-    """A row per span: the keys, start, end, label, text."""
-    return df.select(*keys, F.explode(spans).alias("_s")).select(*keys, "_s.*")
+    """A row per span: the keys, start, end, label, text.
+
+    An inner ``explode`` would make the optimizer derive a filter on the array and push it, with the whole grammar
+    written out anew at each reference, below the columns that build it; the outer one with a filter on its rows doesn't.
+    """
+    return df.select(*keys, F.explode_outer(spans).alias("_s")).where("_s is not null").select(*keys, "_s.*")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from docweave.plans import corpus
+from docweave.plans import corpus, language
 
-MODULES = (corpus,)
+MODULES = (corpus, language)
 
 
 def queries() -> dict[str, Callable]:
