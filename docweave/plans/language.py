@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docweave.functions import numbers as nm
 from docweave.functions import text as tx
-from docweave.operators import dictionary, documents, fx, mutate, ner, spans, training
+from docweave.operators import dictionary, documents, fx, mutate, ner, spans, tables, training
 from docweave.plans import rendered
 from docweave.plans.corpus import table
 from docweave.plans.sql import RENDERED
@@ -184,3 +184,46 @@ def table_detection(spark, sf_dir):
 def ascii_texts(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     return d.where(~F.col("text").rlike(r"[^\x00-\x7F]")).select("doc_id", tx.ascii_text(F.col("text")).alias("ascii"))
+
+
+# ---------------------------------------------------------------- tables and covers
+
+
+@query(
+    """select o_orderkey, 'Key' as label, '$' || cast(o_orderkey as varchar) as first, cast(o_custkey as varchar) as second, '2001' as first_year, '2000' as second_year, 1000.0::double as multiplier, 'EUR' as currency from orders
+    union all select o_orderkey, 'Rate', cast(o_orderkey % 9 as varchar) || '%', cast(o_custkey % 7 as varchar), '2001', '2000', 1000.0::double, 'EUR' from orders"""
+)
+def table_parse(spark, sf_dir):
+    wide = lambda x, n: F.rpad(x, n, " ")
+    key, customer = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    lines = [
+        F.lit("<TABLE>\n<CAPTION>\nOrders (in thousands of euro)\n"),
+        F.lit(" " * 20 + "2001" + " " * 16 + "2000\n" + "-" * 44),
+        F.lit("<S>" + " " * 17 + "<C>  <C>" + " " * 12 + "<C>"),
+        F.concat(wide(F.lit("Key"), 20), wide(F.concat(F.lit("$"), key), 20), customer),
+        F.concat(wide(F.lit("Rate"), 20), wide(F.concat((F.col("o_orderkey") % 9).cast("string"), F.lit("%")), 20), (F.col("o_custkey") % 7).cast("string")),
+        F.lit("</TABLE>"),
+    ]
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.concat_ws("\n", *lines).alias("t")).withColumn("p", tables.parse(F.col("t")))
+    o = o.select("o_orderkey", tables.caption(F.col("t")).alias("c"), tables.column_years(F.col("p.headers")).alias("y"), F.explode("p.rows").alias("r"))
+    cells = [F.col("r")[i].alias(n) for i, n in enumerate(("label", "first", "second"))]
+    return o.select("o_orderkey", *cells, F.col("y")[1].alias("first_year"), F.col("y")[2].alias("second_year"), tables.multiplier(F.col("c")).alias("multiplier"), tables.currency(F.col("c")).alias("currency"))
+
+
+@query(
+    """select c_custkey, chr(10) || chr(10) || '<TABLE>' || chr(10) || chr(10) || rpad('Name', 20, ' ') || '  ' || lpad('Key', 8, ' ') || chr(10) || repeat('-', 20) || '  ' || repeat('-', 8) || chr(10)
+    || rpad('<S>', 22, ' ') || '<C>' || chr(10) || rpad(c_name, 20, ' ') || '  ' || lpad(cast(c_custkey as varchar), 8, ' ') || chr(10) || '</TABLE>' || chr(10) || chr(10) as rendered from customer"""
+)
+def table_render(spark, sf_dir):
+    cells = F.array(F.array("c_name", F.col("c_custkey").cast("string")))
+    text = tables.render(F.lit(""), F.array(F.lit("Name"), F.lit("Key")), cells, F.array(F.lit(20), F.lit(8)), F.array(F.lit("l"), F.lit("r")))
+    return table(spark, sf_dir, "customer").select("c_custkey", text.alias("rendered"))
+
+
+@query("select c_custkey, case c_custkey % 3 when 0 then 2 when 1 then 3 else 5 end as n_blocks from customer")
+def cover_page(spark, sf_dir):
+    body = F.array(F.lit("Item 1. Business"), F.concat(F.lit("The firm of this report sells many things to "), F.col("c_name")))
+    cover = F.array(F.lit("Annual Report"), F.lit("Indicate by check mark"), F.lit("Contents"))
+    plain = F.array(F.lit("One"), F.lit("Two"), F.lit("Three"))
+    blocks = F.when(F.col("c_custkey") % 3 == 0, F.concat(cover, body)).when(F.col("c_custkey") % 3 == 1, F.concat(cover, F.array(F.lit("a"), F.lit("b")))).otherwise(F.concat(plain, body))
+    return table(spark, sf_dir, "customer").select("c_custkey", F.size(documents.without_cover(blocks)).alias("n_blocks"))
