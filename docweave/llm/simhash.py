@@ -163,8 +163,8 @@ def _link(group: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return _tree(fp[used], label)
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows sorted by group (columns: group, fp): edges (a, b, null) or, of too large groups, members (group, fp, tile)."""
+def _compare(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Over rows sorted by group (columns: group, fp): edges (a, b, null) or, of groups larger than ``most``, members (group, fp, tile)."""
     group, fp = np.zeros(0, np.int64), np.zeros(0, np.uint64)
     large, row = None, 0
 
@@ -174,7 +174,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def aside(n: int) -> pa.RecordBatch:
         nonlocal group, fp, row
-        made = out(group[:n], fp[:n], (row + np.arange(n)) // TILE)
+        made = out(group[:n], fp[:n], (row + np.arange(n)) // most)
         group, fp, row = group[n:], fp[n:], row + n
         return made
 
@@ -190,7 +190,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
             size = np.diff(np.r_[first, len(group)])
-            big = np.flatnonzero(size > TILE)
+            big = np.flatnonzero(size > most)
             upto = int(first[big[0]]) if len(big) else int(first[-1])
             if upto:
                 yield out(*_link(group[:upto], fp[:upto]))
@@ -203,20 +203,22 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(*_link(group, fp))
 
 
-def links(fps: DataFrame) -> DataFrame:
-    """(a, b): edges that join exactly what links among the distinct fingerprints ``fp``."""
+def links(fps: DataFrame, tile: int | None = None) -> DataFrame:
+    """(a, b): edges that join exactly what links among the distinct fingerprints ``fp``. ``tile``: ``TILE`` by default."""
+    most = tile or TILE  # goes to the tasks by value
     met = anchors(fps).repartition("anchor").sortWithinPartitions("anchor", "fp")
-    found = settle(met.mapInArrow(_compare, "a long, b long, tile int"), "met")
+    found = settle(met.mapInArrow(lambda batches: _compare(batches, most), "a long, b long, tile int"), "met")
     members = found.where("tile is not null").select(F.col("a").alias("anchor"), F.col("b").alias("fp"), "tile")
     edges = found.where("tile is null").select("a", "b")
     if members.isEmpty():
         return edges
-    # anchors of more than TILE fingerprints: every pair of tiles is a group of its own
+    # anchors of more than a tile of fingerprints: every pair of tiles is a group of its own
     tiles = members.groupBy("anchor").agg((F.max("tile") + 1).alias("n"))
     pairs = members.join(tiles, "anchor").select("anchor", "fp", "tile", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("o"))
-    # half a tile from each side keeps a group within TILE
-    half = F.pmod(F.xxhash64("fp"), F.lit(2))
-    dealt = pairs.select("fp", half.alias("h"), F.explode(F.array(F.lit(0), F.lit(1))).alias("g"), "anchor", F.least("tile", "o").alias("i"), F.greatest("tile", "o").alias("j"), "tile")
+    # half a tile from each side keeps a group within a tile; a tile meets itself whole, in one group
+    half, own = F.pmod(F.xxhash64("fp"), F.lit(2)), F.col("tile") == F.col("o")
+    halves = F.when(own, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
+    dealt = pairs.select("fp", F.when(own, 0).otherwise(half).alias("h"), F.explode(halves).alias("g"), "anchor", F.least("tile", "o").alias("i"), F.greatest("tile", "o").alias("j"), "tile")
     key = F.xxhash64("anchor", "i", "j", F.when(F.col("tile") == F.col("i"), F.col("h")).otherwise(F.col("g")), F.when(F.col("tile") == F.col("i"), F.col("g")).otherwise(F.col("h")))
     groups = dealt.select(key.alias("group"), "fp").repartition("group").sortWithinPartitions("group", "fp")
     return edges.union(groups.mapInArrow(_compare_all, "a long, b long"))

@@ -290,6 +290,26 @@ def test_links_of_large_groups(spark, monkeypatch):
         assert {got.get(x, x) for x in group} == {min(group)}
 
 
+def test_links_of_pairs_in_one_large_anchor(spark):
+    """Isolated pairs that meet only at anchors of several tiles, mostly both in one tile: each is found, and nothing else."""
+    import numpy as np
+
+    from docweave.llm import simhash
+    from docweave.llm.components import components
+
+    rng, syndromes = np.random.default_rng(8), simhash._syndromes()
+    kept = np.zeros(0, np.int64)
+    while len(kept) < 400:  # the middle segment alone differs, in its four lowest bits, which lead to no common anchor from there
+        word = int(rng.integers(0, 1 << 21))
+        pair = np.array([word, word ^ 0b1111])
+        if syndromes[word & 0x7FFF] >= 8 and (np.bitwise_count(kept[:, None] ^ pair[None, :]) > 4).all():
+            kept = np.r_[kept, pair]
+    fps = kept << 21 | 0xAAAAA << 42 | 0x12345
+    df = spark.createDataFrame([(int(x),) for x in fps], "fp long")
+    got = {r["node"]: r["label"] for r in components(simhash.links(df, tile=64)).collect()}
+    assert got == {int(x): int(min(fps[i - i % 2 : i - i % 2 + 2])) for i, x in enumerate(fps)}
+
+
 # ---------------------------------------------------------------- 6 and 9
 
 
