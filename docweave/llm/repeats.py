@@ -20,7 +20,8 @@ with many identities within a batch is dealt by identity instead, after a marker
 spared that way only saves work; every repeat is decided by identities of 128 bits (q-gram and content).
 
 Order: a document with a smaller key is earlier; with ``same_document`` also an earlier start in the same row. Rows of
-equal keys are no earlier than each other. A null key is larger than any other.
+equal keys are no earlier than each other. A null key is larger than any other. Rows of equal key and text count as one
+in the search, and what it finds holds for each of them.
 """
 
 from __future__ import annotations
@@ -131,7 +132,8 @@ def _repeats(gram, same, key, mark, start, w: Windows) -> tuple[np.ndarray, np.n
     first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
     repeat = key > key[first]
     if w.same_document:
-        repeat |= ~_first(gram, same, key, mark)
+        own = np.maximum.accumulate(np.where(_first(gram, same, key, mark), np.arange(len(new)), 0))
+        repeat |= start > start[own]
     return first, repeat
 
 
@@ -146,6 +148,8 @@ def _collapse(gram, same, key, mark, start, many, lead, w: Windows) -> Iterator[
     """Refine one batch: rows of RUNS, of which those without gram are repeats found already, and those without key markers."""
     order = np.lexsort((start, mark, key, same, gram))
     gram, same, key, mark, start, many, lead = (c[order] for c in (gram, same, key, mark, start, many, lead))
+    once = _first(gram, same, key, mark, start)  # rows of equal key and text have all runs in common
+    gram, same, key, mark, start, many, lead = (c[once] for c in (gram, same, key, mark, start, many, lead))
     _, repeat = _repeats(gram, same, key, mark, start, w)
     if repeat.any():
         yield _batch(RUNS, None, None, key[repeat], mark[repeat], start[repeat], many[repeat], None, (mixed(key[repeat].astype(np.uint64)) >> np.uint64(33)).astype(np.int64), n=int(repeat.sum()))
@@ -242,8 +246,8 @@ def _refine(w: Windows, ask: bool) -> Callable[[Iterator[pa.RecordBatch]], Itera
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # (gram, same, key, mark) of the last row, and the key that came first of its identity
-        lead_key = several = None
+        last = None  # (gram, same, key, mark, marker, start) of the last row, the key that came first of its identity, and that key's and mark's first start
+        lead_key = lead_start = several = None
         alone: list[tuple] = []  # leaders of the bucket's only identity so far
         for batch in batches:
             gram = batch.column(0)
@@ -267,11 +271,16 @@ def _refine(w: Windows, ask: bool) -> Callable[[Iterator[pa.RecordBatch]], Itera
             first = np.maximum.accumulate(np.where(new_same, np.arange(n), -1))
             lead = np.where(first >= 0, key[np.maximum(first, 0)], lead_key if lead_key is not None else 0)
             repeat = key > lead
+            # the start that came first of each identity in a document
+            new_own = _first(gram, same, key, mark, marker)
+            new_own[0] = last is None or (gram[0], same[0], key[0], mark[0], marker[0]) != last[:5]
+            own = np.maximum.accumulate(np.where(new_own, np.arange(n), -1))
+            own_start = np.where(own >= 0, start[np.maximum(own, 0)], lead_start if lead_start is not None else 0)
+            again = ~_first(gram, same, key, mark, marker, start)  # of another row of equal key and text
+            again[0] = not new_own[0] and start[0] == last[5]
             if w.same_document:
-                follows = ~_first(gram, same, key, mark, marker)
-                follows[0] = last is not None and (gram[0], same[0], key[0], mark[0], marker[0]) == last
-                repeat |= follows
-            repeat &= ~marker
+                repeat |= start > own_start
+            repeat &= ~marker & ~again
             if repeat.any():
                 yield _batch(FOUND, key[repeat], mark[repeat], start[repeat], np.abs(many[repeat]), None, None, n=int(repeat.sum()))
             if ask:
@@ -280,7 +289,7 @@ def _refine(w: Windows, ask: bool) -> Callable[[Iterator[pa.RecordBatch]], Itera
                 score = np.bincount(bucket, weights=new_same + 2.0 * marker + 2.0 * (many < 0), minlength=bucket[-1] + 1)
                 if not new_gram[0]:
                     score[0] += several or 0
-                leader = ~repeat & ~marker
+                leader = ~repeat & ~marker & ~again
                 open_at = bucket == bucket[-1]
                 ripe = leader & (score[bucket] >= 2)
                 if bucket[-1] > bucket[0] or new_gram[0]:
@@ -296,7 +305,7 @@ def _refine(w: Windows, ask: bool) -> Callable[[Iterator[pa.RecordBatch]], Itera
                 if several < 2:
                     wait = leader & open_at
                     alone += [tuple(x) for x in zip(key[wait].tolist(), mark[wait].tolist(), start[wait].tolist(), np.abs(many[wait]).tolist(), gram[wait].tolist(), to[wait].tolist(), strict=True)]
-            last, lead_key = (gram[-1], same[-1], key[-1], mark[-1], marker[-1]), lead[-1]
+            last, lead_key, lead_start = (gram[-1], same[-1], key[-1], mark[-1], marker[-1], start[-1]), lead[-1], own_start[-1]
 
     def self_rows(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         columns = [np.array(c, np.uint64 if i == 4 else np.int64) for i, c in enumerate(zip(*rows, strict=True))]
@@ -321,11 +330,11 @@ def earlier_repeats(df: DataFrame, w: Windows, key: str, text: str) -> DataFrame
     found = settle(_sorted(cut).mapInArrow(_refine(w, True), FOUND), "runs")
     repeats = found.where("gram is null").select("key", "mark", "start", "many")
     for part in w.parts:
-        asked = found.where("gram is not null").groupBy("key", "mark").agg(F.collect_list(F.struct("start", "many", "lead", "gram")).alias("runs"))
+        asked = found.where("gram is not null").groupBy("key", "mark").agg(F.collect_set(F.struct("start", "many", "lead", "gram")).alias("runs"))
         apart = _with_text(rows, asked, "inner").select("_key", "_mark", "_text", "runs").mapInArrow(_apart(w, part), RUNS)
         found = settle(_sorted(apart).mapInArrow(_refine(w, part > 1), FOUND), f"parts-{part}")
         repeats = repeats.union(found.where("gram is null").select("key", "mark", "start", "many"))
-    spans = repeats.groupBy("key", "mark").agg(F.collect_list(F.struct("start", "many")).alias("spans"))
+    spans = repeats.groupBy("key", "mark").agg(F.collect_set(F.struct("start", "many")).alias("spans"))
     return _with_text(rows, spans, "left").select("_key", "_mark", "_text", "spans")
 
 

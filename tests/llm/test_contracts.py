@@ -385,6 +385,23 @@ def test_repeats_of_random_texts(spark, seed):
     same([(r[0], r[1], bytes(r[2]).decode()) for r in suffixes.without_repeats(df, length=20, q=7).select("doc_id", "n_removed", "kept").collect()], [(i, sum(g), "".join(c for c, x in zip(t, g, strict=True) if not x)) for (i, t), g in zip(docs, gone, strict=True)])
 
 
+@pytest.mark.parametrize("parts", [1, 6])
+def test_repeated_rows_keep_their_texts(spark, parts):
+    """Rows of equal key and text, null keys among them: none is earlier than the other, but each repeats what it repeats itself."""
+    import random
+
+    from docweave.llm import suffixes
+
+    rng = random.Random(4)
+    a, b, c = ("".join(rng.choice("abcdefgh ") for _ in range(90)) for _ in range(3))
+    docs = [(3, a), (3, a), (5, b + c + b[10:70]), (5, b + c + b[10:70]), (None, c + a), (None, c + a), (None, "only here: " + b[::-1]), (None, "only here: " + b[::-1])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(parts)
+    gone = brute_repeats([((i is None, i or 0), t.encode()) for i, t in docs], 20, True)
+    want = [(i, sum(g), "".join(x for x, y in zip(t, g, strict=True) if not y)) for (i, t), g in zip(docs, gone, strict=True)]
+    assert [n for _, n, _ in want] == [0, 0, 60, 60, 180, 180, 0, 0]
+    same([(r[0], r[1], bytes(r[2]).decode()) for r in suffixes.without_repeats(df, length=20, q=7).select("doc_id", "n_removed", "kept").collect()], want)
+
+
 # ---------------------------------------------------------------- 7
 
 
