@@ -5,10 +5,14 @@ A page is read as a sequence of words and tags. A plain word scores +1, a tag mi
 notices, comments, ...) minus ``aside``. One linear scan finds the contiguous stretch with the largest sum: the content
 region. The blocks it touches, whole but without links' menus and the other elements just named, are the text.
 
+A class, id or role is a hint only. It does not hold where it names a part that the element has or lacks (has-sidebar,
+no-comments) or the heading of a text (post-header), nor for an element that holds the page's body: a ``main``, the
+``article`` of the most words, or over half of the words of that, or of a page without either.
+
 The weights come from labelled pages: pages whose author marked the content with one ``article`` or ``main`` element.
 On a bounded sample of them (``fit_pages``, by a hash of the key) Spark scores each combination of a small grid by how
 well the regions found agree with the marked ones, and the best combination is used for every page, labelled or not.
-The marking itself is never an input of the extraction.
+The marking scores nothing in the extraction; it only voids hints (below).
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by two newlines. Null,
 empty and text-less pages give ''. Pages are read whole in linear time; broken markup is read as far as it goes: what
@@ -49,26 +53,59 @@ _HINTS = frozenset(
 _BLOCK_ENDS_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
+#: Parts of a name that say that an element has or lacks what the name's hint says, and parts that say that a heading is a text's.
+_FEATURES = frozenset("has have with without no not enabled disabled open closed".split())
+_TEXTS = frozenset("post entry article story content title headline".split())
+
 #: Hints that mean no more than a heading where they stand inside the article.
 _HEADINGS = frozenset(("header", "masthead", "banner"))
 
 PLAIN, LINKED, BESIDE, MARK = range(4)
 
 
-def _beside(tag: str, attributes: str, stack: list[tuple[str, bool]]) -> bool:
-    """Whether an element holds no content by its nature or its attributes."""
-    inner = any(t in ("article", "main") for t, _ in stack)
+def _hinted(value: str, inner: bool) -> bool:
+    """Whether one of the names in a class, id or role says that an element holds no content."""
+    for name in value.lower().strip("\"'").split():
+        parts = frozenset(re.split(r"[^a-z0-9]+", name))
+        if (parts & _HINTS) - (_HEADINGS if inner or parts & _TEXTS else set()) and not parts & _FEATURES:
+            return True
+    return False
+
+
+def _beside(tag: str, attributes: str, stack: list[tuple[str, int, int]]) -> tuple[bool, bool]:
+    """Whether an element holds no content by its nature, and whether its names hint that it holds none."""
+    inner = any(t in ("article", "main") for t, _, _ in stack)
     if tag in _ASIDE or (tag == "header" and not inner):
-        return True
+        return True, False
     if tag in _WHOLE or not attributes:
-        return False
+        return False, False
+    hint = False
     for name, value in _ATTRIBUTE.findall(attributes):
         name = name.lower()
         if name == "hidden" or (name == "aria-hidden" and "true" in value) or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
-            return True
-        if name in ("class", "id", "role") and _HINTS.intersection(re.split(r"[^a-z0-9]+", value.lower())) - (_HEADINGS if inner else set()):
-            return True
-    return False
+            return True, False
+        hint = hint or (name in ("class", "id", "role") and _hinted(value, inner))
+    return False, hint
+
+
+def _held(steps: list[tuple[int, int]], hints: list[tuple[int, int]], regions: dict[str, list[list[int]]]) -> list[tuple[int, int]]:
+    """Of the elements with a hint, as (first step, last step + 1): those for which it holds, as the page's body isn't in them."""
+    if not hints:
+        return []
+    words = [0]
+    for kind, n in steps:
+        words.append(words[-1] + (n if kind == PLAIN else 0))
+    count = lambda r: words[r[1]] - words[r[0]]
+    body = max(regions["main"] or regions["article"], key=count, default=[0, len(steps)])
+    story = max(regions["article"], key=count, default=body)
+    story = story if 2 * count(story) > count(body) else body
+
+    def holds(h: tuple[int, int]) -> bool:
+        around = any(h[0] <= r[0] and r[1] <= h[1] for r in (body, story))
+        within = any(r[0] <= h[0] and h[1] <= r[1] and 2 * count(h) > count(r) for r in (body, story))
+        return not (around or within)
+
+    return [h for h in hints if holds(h)]
 
 
 def read(page: str) -> tuple[list[tuple[int, int]], list[tuple[int, str]], tuple[int, int] | None]:
@@ -79,16 +116,19 @@ def read(page: str) -> tuple[list[tuple[int, int]], list[tuple[int, str]], tuple
     """
     steps: list[tuple[int, int]] = []
     pieces: list[tuple[int, str]] = []
-    stack: list[tuple[str, bool]] = []
+    stack: list[tuple[str, bool, int]] = []  # tag, whether it is no content by its nature, the step of its hint or -1
+    hints: list[tuple[int, int]] = []
     links = beside = 0
     regions: dict[str, list[list[int]]] = {"article": [], "main": []}
     skip = None
 
     def pop() -> None:
         nonlocal links, beside
-        tag, hidden = stack.pop()
+        tag, hidden, hint = stack.pop()
         links -= tag == "a"
         beside -= hidden
+        if hint >= 0:
+            hints.append((hint, len(steps)))
         if tag in regions:
             next(r for r in reversed(regions[tag]) if len(r) == 1).append(len(steps))
 
@@ -110,7 +150,7 @@ def read(page: str) -> tuple[list[tuple[int, int]], list[tuple[int, str]], tuple
                 if not beside:
                     pieces.append((len(steps) - 1, value))
             elif value and pieces:
-                pieces.append((pieces[-1][0], value))
+                pieces.append((-1, value))  # of the piece before
             continue
         if tag is None:
             continue
@@ -121,7 +161,7 @@ def read(page: str) -> tuple[list[tuple[int, int]], list[tuple[int, str]], tuple
             pieces.append((len(steps), " "))
         steps.append((MARK, 1))
         if close:
-            if any(t == tag for t, _ in stack):
+            if any(t == tag for t, _, _ in stack):
                 while stack[-1][0] != tag:
                     pop()
                 pop()
@@ -131,19 +171,34 @@ def read(page: str) -> tuple[list[tuple[int, int]], list[tuple[int, str]], tuple
             continue
         if tag in _VOID or attributes.rstrip().endswith("/"):
             continue
-        if tag in _BLOCK_ENDS_P and stack and any(t == "p" for t, _ in stack[-8:]):
-            while any(t == "p" for t, _ in stack[-8:]):
+        if tag in _BLOCK_ENDS_P and stack and any(t == "p" for t, _, _ in stack[-8:]):
+            while any(t == "p" for t, _, _ in stack[-8:]):
                 pop()
         while stack and stack[-1][0] in _CLOSES.get(tag, ()):
             pop()
-        hidden = _beside(tag, attributes, stack)
+        hidden, hint = _beside(tag, attributes, stack)
         if tag in regions:
             regions[tag].append([len(steps) - 1])
-        stack.append((tag, hidden))
+        stack.append((tag, hidden, len(steps) - 1 if hint else -1))
         links += tag == "a"
         beside += hidden
     while stack:
         pop()
+    dropped = bytearray(len(steps))
+    upto = 0
+    for first, last in sorted(_held(steps, hints, regions)):
+        for i in range(max(first, upto), last):
+            dropped[i] = steps[i][0] != MARK
+        upto = max(upto, last)
+    steps = [(BESIDE, n) if out else (kind, n) for (kind, n), out in zip(steps, dropped, strict=True)]
+    kept: list[tuple[int, str]] = []
+    for step, value in pieces:
+        if step < 0:
+            if kept:
+                kept.append((kept[-1][0], value))
+        elif not value.strip() or not dropped[step]:
+            kept.append((step, value))
+    pieces = kept
     one = next((regions[t][0] for t in ("article", "main") if len(regions[t]) == 1), None)
     return steps, pieces, tuple(one) if one else None
 

@@ -437,6 +437,23 @@ def test_main_text():
     assert main_text(None) == main_text("") == main_text("<div></div>") == ""
 
 
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "layout-with-widget", "post related-posts-enabled", "sidebar", "widget"])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_main_text_in_a_hinted_wrapper(name, tag):
+    from docweave.llm.html_text import main_text
+
+    paragraphs = [f"Paragraph {i} of the story tells more than a few words to its readers." for i in range(4)]
+    body = f"<{tag}>" + "".join(f"<p>{p}</p>" for p in paragraphs) + f"</{tag}>"
+    comments = "<div class=comments><p>First! This is a comment of a reader</p></div>"
+    page = f"<body><nav><a href=1>Home</a></nav><div class='{name}'>{body}{comments}</div><footer>All rights reserved</footer></body>"
+    assert main_text(page).split("\n\n") == paragraphs
+    long = "<div id=comments>" + "<article class=comment><p>One more comment of a reader with some words in it</p></article>" * 3 + "</div>"
+    if tag != "div":  # comments are shorter than the body each, though articles too
+        assert main_text(page.replace(comments, long)).split("\n\n") == paragraphs
+    titled = page.replace(f"<{tag}><p>", f"<div class='post-header'><h1>The title</h1></div><{tag}><p>", 1)
+    assert main_text(titled).split("\n\n") == ["The title", *paragraphs]
+
+
 # ---------------------------------------------------------------- 10
 
 
