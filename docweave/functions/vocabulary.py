@@ -99,6 +99,15 @@ ENTITIES = ("company", "companies", "subsidiary", "subsidiaries", "customer", "s
 INSTRUMENTS = ("swap", "option", "futures", "forward", "bond", "note", "debenture", "warrant", "derivative", "cap", "collar", "coupon", "strike", "notional", "spot", "denominated")
 SHARES = ("share", "stock option", "option", "restricted stock unit", "RSU", "warrant", "ADS", "unit", "common stock", "preferred stock", "ordinary share")
 EQUITY = ("stock", "share", "equity", "dividend", "shareholder", "stockholder", "issued", "outstanding", "vested", "granted", "repurchase")
+SURE_SHARES = ("share", "stock", "option", "RSU", "PSU", "DSU", "SAR", "warrant", "restricted stock unit")
+# What is done with a number of shares or things, and what such a number is called.
+COUNT_VERBS = (
+    "issuing", "issued", "issues", "issuable", "granting", "granted", "grants", "repurchasing", "repurchased", "repurchases", "sell", "selling", "sells", "sold",
+    "acquiring", "acquired", "acquires", "authorizing", "authorized", "authorizes", "exercising", "exercised", "exercises", "converting", "converted", "converts",
+    "redeeming", "redeemed", "redeems", "surrendering", "surrendered", "surrenders", "canceling", "cancelling", "canceled", "cancelled", "cancels",
+    "awarding", "awarded", "awards", "settling", "settled", "settles", "delivering", "delivered", "delivers", "exchanging", "exchanged", "exchanges",
+)
+COUNT_ADJECTIVES = ("outstanding", "vested", "unvested", "diluted", "weighted average")
 CHANGES = ("increase", "increased", "decrease", "decreased", "rise", "rose", "fall", "fell", "growth", "grew", "decline", "declined", "gain", "gained", "drop", "dropped", "up", "down", "change", "changed", "reduction", "improvement")
 CHANGES_AFTER = ("more", "less", "higher", "lower", "above", "below", "greater", "fewer")
 RATE_HEADS = ("rate", "ratio", "yield", "margin", "coupon", "interest", "tax", "discount")

@@ -6,12 +6,14 @@ the data alone (keys and their digests), never on partitions: a rerun or another
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docweave.functions import text as tx
+from docweave.functions.find import let
 
 
 @dataclass(frozen=True)
@@ -44,6 +46,18 @@ def clean_good(df: DataFrame, block: str = "block", keep: BlockFilter = BlockFil
     return df.withColumn(block, tx.clean_block(F.col(block))).where(keep(F.col(block)))
 
 
+def good_blocks(df: DataFrame, text: str = "text", keep: BlockFilter = BlockFilter(), separator: str = "\n") -> DataFrame:
+    """``blocks`` and ``clean_good`` in one: each line is cleaned and judged once, inside its document's array.
+
+    A filter behind a projection would be pushed below it with the whole cleaning written out at every use; one on the
+    rows of an outer explode stays where it is. Null texts have no blocks.
+    """
+    lines = F.transform(F.split(text, separator), lambda line, i: F.struct(i.alias("pos"), let(tx.clean_block(line), lambda b: F.when(keep(b), b)).alias("block")))
+    rest = [c for c in df.columns if c != text]
+    held = df.select(*rest, F.explode_outer(F.filter(lines, lambda b: b["block"].isNotNull())).alias("_b"))
+    return held.where(F.col("_b").isNotNull()).select(*rest, "_b.pos", "_b.block")
+
+
 def first_of_each(df: DataFrame, key: Column, order: list[str]) -> DataFrame:
     """The first row, in ``order``, of each key. Rows are combined before the shuffle, so a key may hold any share of them."""
     rest = [c for c in df.columns if c not in order]
@@ -56,7 +70,7 @@ def draw(seed: int, *parts: str) -> Column:
 
 
 def sample_per_group(df: DataFrame, group: str, k: int, seed: int, *parts: str) -> DataFrame:
-    """``k`` rows of each group, by digest. Ranks are cut before the shuffle."""
+    """``k`` rows of each group, by digest. Spark's limit on ranks cuts a group before its shuffle."""
     ranked = df.withColumn("_n", F.row_number().over(Window.partitionBy(group).orderBy(draw(seed, group, *parts))))
     return ranked.where(F.col("_n") <= k).drop("_n")
 
@@ -90,17 +104,20 @@ def stratify(df: DataFrame, stratum: Column, target: int, seed: int, *parts: str
 
 def build(docs: DataFrame, key: str, group: str, seed: int = 42, per_document: int = 10, per_group: int = 100, keep: BlockFilter = BlockFilter()) -> DataFrame:
     """The corpus: good blocks, sampled per document, first of equals, capped per group."""
-    good = clean_good(blocks(docs), keep=keep)
+    good = good_blocks(docs, keep=keep)
     sampled = sample_per_group(good, key, per_document, seed, "pos")
     unique = first_of_each(sampled, tx.dedupe_key(F.col("block")), [key, "pos"])
     return cap_per_group(unique, group, per_group, [key, "pos"])
 
 
-def funnel(df: DataFrame, **stages: Column) -> DataFrame:
-    """One row: how many rows meet each condition and all before it, and their share in percent, from one scan."""
-    sums, met = [F.count("*").alias("n_all")], F.lit(True)
-    for name, condition in stages.items():
-        met = met & condition
-        sums.append(F.sum(F.when(met, 1).otherwise(0)).cast("bigint").alias(f"n_{name}"))
-    counted = df.agg(*sums)
-    return counted.select("*", *[F.round(100 * F.col(f"n_{n}") / F.greatest("n_all", F.lit(1)), 2).alias(f"pct_{n}") for n in stages])
+def funnel(df: DataFrame, block: Column, **stages: Callable[[Column], Column]) -> DataFrame:
+    """One row: how many blocks (of the array ``block``) meet each condition and all before it, and their share in percent, from one scan."""
+    names = list(stages)
+    met = F.transform(block, lambda x: let(tx.clean_block(x), lambda b: F.struct(*[stages[n](b).alias(n) for n in names])))
+    rows = df.select(F.explode_outer(met).alias("_m")).where(F.col("_m").isNotNull())
+    sums, all_met = [F.count("*").alias("n_all")], F.lit(True)
+    for name in names:
+        all_met = all_met & F.col(f"_m.{name}")
+        sums.append(F.coalesce(F.sum(F.when(all_met, 1).otherwise(0)), F.lit(0)).cast("bigint").alias(f"n_{name}"))
+    counted = rows.agg(*sums)
+    return counted.select("*", *[F.round(100 * F.col(f"n_{n}") / F.greatest("n_all", F.lit(1)), 2).alias(f"pct_{n}") for n in names])

@@ -168,13 +168,34 @@ def _is_state(text: Column, span: Column) -> Column:
     return ahead(text, span, 60).rlike(rf"\b(?:{'|'.join(v.STATES)})\s*$|\b(?:{'|'.join(v.STREETS)})\b")
 
 
+_EQUITY = rf"(?i)\b{any_of(v.EQUITY)}s?\b"
+
+
+def _paragraph(text: Column, span: Column) -> Column:
+    """The paragraph (between blank lines) around a span."""
+    blank = r"\n\s*\n"
+    head = F.element_at(F.split(F.substring(text, F.lit(1), span["start"]), blank), -1)
+    tail = F.get(F.split(F.substring(text, span["start"] + 1, F.length(text)), blank), F.lit(0))
+    return F.concat(head, tail)
+
+
 def _equity(text: Column, span: Column) -> Column:
-    return text.rlike(rf"(?i)\b{any_of(v.EQUITY)}s?\b")
+    """The paragraph speaks of equity; what may be a unit or an option of another kind also needs it in its clause."""
+    plain = span["text"].rlike(rf"(?i)\b{any_of(v.SURE_SHARES)}s?\b")
+    around_it = F.when(text.rlike(r"\n\s*\n"), _paragraph(text, span).rlike(_EQUITY)).otherwise(text.rlike(_EQUITY))
+    return around_it & (plain | in_clause(text, span, _EQUITY))
+
+
+#: Words right before a number that make it a count, verbs that do within the five words before, and words that do in the match.
+_COUNTED = r"(?i)\b(?:have|has|had|having|is|are|was|were|of|approximately|about)\s+$"
+_COUNTING = rf"(?i)\b{any_of(v.COUNT_VERBS)}\s+(?:\S+\s+){{0,5}}$"
+_COUNTS = rf"(?i)\b{any_of(v.COUNT_ADJECTIVES)}\b"
 
 
 def _no_bare_year(text: Column, span: Column) -> Column:
-    """A number that looks like a year counts only after have, is, was and the like."""
-    return ~year_like(span) | ahead(text, span, 24).rlike(r"(?i)\b(?:have|has|had|is|are|was|were|of|approximately|about)\s+$")
+    """A number that looks like a year counts only after have, is, was and the like, after a verb such as issued, or as shares outstanding and the like."""
+    before = ahead(text, span, 90)
+    return ~year_like(span) | before.rlike(_COUNTED) | before.rlike(_COUNTING) | span["text"].rlike(_COUNTS)
 
 
 def _not_before_workers(text: Column, span: Column) -> Column:

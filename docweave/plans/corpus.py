@@ -32,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def good(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-    return cp.clean_good(cp.blocks(docs))
+    return cp.good_blocks(docs)
 
 
 @query(f"with {GOOD} select doc_id, pos, block from good")
@@ -88,8 +88,8 @@ def corpus_stratified(spark, sf_dir):
       length(regexp_replace(block, '[^\\p{{Lu}}]', '', 'g')) / greatest(length(regexp_replace(block, '[^\\p{{L}}]', '', 'g')), 1) <= 0.6 as d from cleaned)"""
 )
 def corpus_funnel(spark, sf_dir):
-    b = cp.blocks(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumn("block", tx.clean_block(F.col("block")))
-    return cp.funnel(b, long=F.length("block") >= 50, alpha=tx.alpha_ratio(F.col("block")) >= 0.5, lower=tx.upper_ratio(F.col("block")) <= 0.6)
+    lines = F.split("text", "\n")
+    return cp.funnel(table(spark, sf_dir, "documents"), lines, long=lambda b: F.length(b) >= 50, alpha=lambda b: tx.alpha_ratio(b) >= 0.5, lower=lambda b: tx.upper_ratio(b) <= 0.6)
 
 
 @query("select cast(year(o_orderdate) // 10 * 10 as varchar) || 's' as decade, count(*) as n from orders group by 1")

@@ -10,10 +10,6 @@ import pytest
 
 from docweave import plans
 
-#: Long grammars: their plans take half a minute each, so tests run them once, through the spans.
-SLOW = {"span_label_counts", "ner_rows", "home_country"}
-
-
 @pytest.fixture(scope="module")
 def con(small):
     c = duckdb.connect()
@@ -28,7 +24,7 @@ def plain(v):
     return tuple(map(plain, v)) if isinstance(v, (list, tuple)) else v
 
 
-@pytest.mark.parametrize("name", sorted(set(plans.oracles()) - SLOW))
+@pytest.mark.parametrize("name", sorted(plans.oracles()))
 def test_rows_of_sql(spark, small, con, name):
     got = plans.queries()[name](spark, small)
     want = con.sql(plans.oracles()[name])
