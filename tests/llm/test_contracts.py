@@ -164,6 +164,30 @@ def test_png_filters_and_checksums():
         m.png_decode(whole[:-6])
 
 
+def test_png_rows_are_filtered_and_restored():
+    import numpy as np
+
+    from docweave.llm import media as m
+
+    for data in (b"word " * 700, bytes(range(256)) * 9, np.random.default_rng(3).bytes(1 << 12), b"", "Größe é".encode() * 50):
+        payload = m.pad(data)
+        image = m.png_decode(m.png_encode(payload))
+        assert image.tobytes() == payload
+    stored = m.png_encode(m.pad(b"the same line of sixty-four bytes, again and again, down the page" * 40))
+    kinds = zlib.decompress(stored[41 : -16 + 0][: int.from_bytes(stored[33:37], "big")])[::65]
+    assert set(kinds) - {0}  # what the encoder writes needs unfiltering
+
+
+def test_op2_reads_stored_images(spark, small):
+    from docweave.llm import media as m
+
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    stored = {r["doc_id"]: bytes(r["media"]) for r in m.with_media(docs).collect()}
+    for r in q.QUERIES["op2_media"](spark, small).collect():
+        own = stored[r["doc_id"]]
+        assert (r["media_bytes"], r["media_sha256"], r["feature"]) == (len(own), sha(own), m.image_hash(m.png_decode(own)))
+
+
 # ---------------------------------------------------------------- 3
 
 
@@ -224,9 +248,33 @@ def test_op4(spark, tables):
     texts = {r["doc_id"]: r["text"] or "" for r in docs}
     for r in got:
         form = canonical(texts[r["doc_id"]])
+        same_form = [d for d in docs if canonical(d["text"] or "") == form]
+        assert r["group_size"] == len(same_form) and r["group_id"] == min((d["doc_id"] for d in same_form if d["doc_id"] is not None), default=None)
         assert prints.setdefault(form, r["fingerprint"]) == r["fingerprint"] and forms.setdefault(r["fingerprint"], form) == form
 
 
+@pytest.mark.parametrize("shape", ["nulls", "clustered", "one"])
+def test_next_of_many_rows(spark, shape, monkeypatch):
+    """Buckets of few rows: many null keys, keys in a few far clusters, a single row."""
+    from docweave.llm import fingerprint as f
+
+    monkeypatch.setattr(f, "BUCKET_ROWS", 5)
+    monkeypatch.setattr(f, "QUANTILES", 4)
+    keys = {"nulls": [None] * 150 + list(range(0, 300, 3)), "clustered": [*range(90), *range(10**12, 10**12 + 40), -(10**15), 10**17], "one": [5]}[shape]
+    df = spark.createDataFrame([(k, f"text {i}") for i, k in enumerate(keys)], "doc_id long, text string").repartition(7)
+    got = f.with_next(df, "doc_id", ["text"]).collect()
+    follow = {r["text"]: r["next_text"] for r in got}
+    key_of = {f"text {i}": k for i, k in enumerate(keys)}
+    assert len(got) == len(follow) == len(keys)
+    first = max((k for k in keys if k is not None), default=None)
+    at = next(t for t, k in key_of.items() if k == first)
+    chain = [at]
+    while len(chain) < len(keys):
+        chain.append(follow[chain[-1]])
+    assert len(set(chain)) == len(keys) and follow[chain[-1]] == at
+    assert [key_of[t] for t in chain] == sorted((k for k in keys if k is not None), reverse=True) + [None] * keys.count(None)
+
+
 # ---------------------------------------------------------------- 5
 
 
@@ -472,6 +520,53 @@ def test_op10(spark, small, odd):
     assert {r["doc_id"]: r["lang_pred"] for r in q.QUERIES["op10_language"](spark, odd).collect()}[4] == "und"
 
 
+def test_op10_of_short_texts(spark, small):
+    """Texts of one to four words count too: by far most are recognised."""
+    docs = {r["doc_id"]: r for r in rows(spark, small)}
+    seen = right = 0
+    from docweave.llm import langid
+
+    table = spark.read.parquet(f"{small}/documents.parquet")
+    model = langid.fit(table.where(~langid.held_out()))
+    short = [(r["doc_id"] * 10 + i, " ".join(words(r["text"])[4 * i : 4 * i + 3]), r["lang"]) for r in docs.values() if r["lang"] for i in range(3) if len(words(r["text"])) > 12 and zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
+    for r in langid.predict(spark.createDataFrame(short, "doc_id long, text string, lang string"), model).collect():
+        if r["language"]["lang"] != "und":
+            seen, right = seen + 1, right + (r["language"]["lang"] == r["lang"])
+    assert seen > 50 and right >= 0.8 * seen
+
+
+def test_batches_of_n_grams():
+    """Scores by blocks are those of each text alone, wherever blocks cut."""
+    import numpy as np
+
+    from docweave.llm import langid
+
+    weights = np.random.default_rng(2).normal(size=(1 << 15, 3)).astype(np.float32)
+    texts = ["", "a", "ab", "abc", "Größe " * 9, "x" * 50, "one more text"]
+
+    def plain(t: str) -> np.ndarray:
+        total, codes = np.zeros(3), langid._codes(t)
+        for n in langid.GRAMS:
+            for i in range(len(codes) - n + 1):
+                total += weights[langid._buckets(codes[i : i + n], n, 15)[0]]
+        return total
+
+    want = np.array([plain(t) for t in texts])
+    assert np.allclose(langid.scores(texts, weights), want)
+    got = np.zeros_like(want)
+    for codes, owner in langid.sequences(texts, 7):
+        for found, text in langid.grams(codes, owner, 15):
+            np.add.at(got, text, weights[found])
+    assert np.allclose(got, want)
+
+
+def test_many_languages_get_fewer_buckets():
+    from docweave.llm import langid
+
+    assert langid.bucket_bits(4) == langid.bucket_bits(512) == 15
+    assert all(n << langid.bucket_bits(n) <= langid.CELLS for n in (513, 5000, 100_000))
+
+
 @pytest.mark.parametrize("name", sorted(q.QUERIES))
 def test_empty_tables(spark, empty, name):
     assert q.QUERIES[name](spark, empty).count() == 0
