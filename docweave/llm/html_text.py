@@ -1,28 +1,36 @@
 """Main-text extraction from HTML by the maximum-scoring subsequence.
 
-A page is read as a sequence of words and tags. A plain word scores +1, a tag minus ``tag``, a word inside a link minus
-``link``, and a word inside an element that is no content by its nature or its class, id or role (menus, forms, adverts,
-notices, comments, ...) minus ``aside``. One linear scan finds the contiguous stretch with the largest sum: the content
-region. The blocks it touches, whole but without links' menus and the other elements just named, are the text.
-
-A class, id or role is a hint only. It does not hold where it names a part that the element has or lacks (has-sidebar,
-no-comments) or the heading of a text (post-header), nor for an element that holds the page's body: a ``main``, the
-``article`` of the most words, or over half of the words of that, or of a page without either.
-
-The weights come from labelled pages: pages whose author marked the content with one ``article`` or ``main`` element.
-On a bounded sample of them (``fit_pages``, by a hash of the key) Spark scores each combination of a small grid by how
-well the regions found agree with the marked ones, and the best combination is used for every page, labelled or not.
-The marking scores nothing in the extraction; it only voids hints (below).
+A page is read as a sequence of words and tags. Every word scores by its context, every tag by its name, and one linear
+scan finds the contiguous stretch of the largest sum: the content region. The text is that of the region: the blocks it
+touches, whole, where a block's own words sum to more than zero, without the runs in them that stand in an element which
+is no content by its nature or its name and score below zero.
+
+Contexts. A word's context is the block it stands in (p, li, div, ...), whether in a link, and whether that block's own
+class, id or role is a name that adverts, notices, comments and the like go by; or that it stands in an element that is
+no content by its nature (nav, footer, form, ...; a header outside article, main and section), or in a container with
+such a name. A name is a hint only: it is a context that is scored like any other. It does not hold where it names a part
+that the element has or lacks (has-sidebar, no-comments) or the heading of a text (post-header), nor for a container that
+holds the page's body: a ``main``, the ``article`` of the most words, or over half of the words of that, or of a page
+without either. That, and the header, is all that ``article`` and ``main`` are used for in an extraction.
+
+Weights come from labelled pages: pages whose author marked the content with one ``article`` or ``main`` element. On a
+bounded sample of them (``fit_pages``, by a hash of the key) Spark counts how many words of each context, and how many
+tags of each name, stand inside and outside the marked element (what stands in a held hint or an element that is no
+content counts as outside). A word's weight is 2 P - 1, with P the share inside, and a tag's is minus ``TAG_LOW`` to minus
+``TAG_HIGH`` by its share outside; both start from a prior worth ``PRIOR`` words. ``article`` and ``main`` themselves are
+tags without a weight of their own. Without labelled pages the priors hold.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by two newlines. Null,
-empty and text-less pages give ''. Pages are read whole in linear time; broken markup is read as far as it goes: what
-is never closed ends with the page. Equal rows get equal texts. Without labelled pages the default weights hold.
+empty and text-less pages give ''. Pages are read whole in linear time: every element is opened and closed once, and
+what is open is counted by name, never searched. Broken markup is read as far as it goes: what is never closed ends with
+the page. Equal rows get equal texts.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -32,69 +40,80 @@ from pyspark.sql import functions as F
 from docweave.llm.common import text_of
 
 FIT_PAGES = 2000
-TAG = (0.01, 0.02, 0.05, 0.2, 0.5)
-LINK = (0.2, 1.0)
-ASIDE = (0.2, 1.0)
-DEFAULT = (0.02, 1.0, 1.0)
+PRIOR = 30.0
+TAG_LOW, TAG_HIGH = 0.01, 0.3
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)|([^<]++|<)""", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*+(?:=\s*+("[^"]*+"?|'[^']*+'?|[^\s"'>]++))?""")
 _RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp", "noframes"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "ruby", "rt", "rp"}
+#: Elements that are no content by their nature.
 _ASIDE = {"nav", "footer", "aside", "form", "button", "select", "option", "dialog", "menu", "svg", "canvas", "object", "audio", "video", "head", "fieldset"}
-_WHOLE = {"html", "body", "article", "main"}
-_HINTS = frozenset(
+_SCOPES = ("article", "main", "section")
+#: Blocks that hold sentences, other blocks that words may stand in, and blocks that leave their words to the block around them.
+_SENTENCES = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "figcaption", "dd"}
+_BLOCKS = _SENTENCES | {"li", "dt", "td", "th", "div", "section", "caption", "address", "details", "summary", "center"}
+_CLEAR = {"html", "body", "article", "main", "ul", "ol", "dl", "table", "thead", "tbody", "tfoot", "tr", "header", "hgroup", "figure"}
+_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay "
     "menu nav navbar navigation breadcrumb breadcrumbs sidebar aside widget widgets footer header masthead comment comments disqus reply replies respond "
     "share sharing social related recommended recommendations newsletter subscribe subscription signup login search pagination pager skip copyright legal toolbar "
     "complementary contentinfo hidden".split()
 )
 _BLOCK_ENDS_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
+#: Elements that a paragraph around them stays open behind.
+_P_SCOPES = {"table", "td", "th", "caption", "button", "object", "template"}
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-
 #: Parts of a name that say that an element has or lacks what the name's hint says, and parts that say that a heading is a text's.
 _FEATURES = frozenset("has have with without no not enabled disabled open closed".split())
 _TEXTS = frozenset("post entry article story content title headline".split())
-
-#: Hints that mean no more than a heading where they stand inside the article.
+#: Names that mean no more than a heading where they stand inside the article.
 _HEADINGS = frozenset(("header", "masthead", "banner"))
 
-PLAIN, LINKED, BESIDE, MARK = range(4)
+HINT = "hint"
+Steps = list[tuple[str, int]]
 
 
-def _hinted(value: str, inner: bool) -> bool:
-    """Whether one of the names in a class, id or role says that an element holds no content."""
+def _named(value: str, inner: bool) -> bool:
+    """Whether one of the names in a class, id or role is one that what is no content goes by."""
     for name in value.lower().strip("\"'").split():
         parts = frozenset(re.split(r"[^a-z0-9]+", name))
-        if (parts & _HINTS) - (_HEADINGS if inner or parts & _TEXTS else set()) and not parts & _FEATURES:
+        if (parts & _NAMES) - (_HEADINGS if inner or parts & _TEXTS else set()) and not parts & _FEATURES:
             return True
     return False
 
 
-def _beside(tag: str, attributes: str, stack: list[tuple[str, int, int]]) -> tuple[bool, bool]:
-    """Whether an element holds no content by its nature, and whether its names hint that it holds none."""
-    inner = any(t in ("article", "main") for t, _, _ in stack)
+def _nature(tag: str, attributes: str, inner: bool) -> tuple[bool, bool]:
+    """Whether an element is no content by its nature (or not shown), and whether its names hint so."""
     if tag in _ASIDE or (tag == "header" and not inner):
         return True, False
-    if tag in _WHOLE or not attributes:
-        return False, False
-    hint = False
-    for name, value in _ATTRIBUTE.findall(attributes):
-        name = name.lower()
-        if name == "hidden" or (name == "aria-hidden" and "true" in value) or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
-            return True, False
-        hint = hint or (name in ("class", "id", "role") and _hinted(value, inner))
-    return False, hint
-
-
-def _held(steps: list[tuple[int, int]], hints: list[tuple[int, int]], regions: dict[str, list[list[int]]]) -> list[tuple[int, int]]:
-    """Of the elements with a hint, as (first step, last step + 1): those for which it holds, as the page's body isn't in them."""
+    named = False
+    if attributes and tag not in ("html", "body", "article", "main"):
+        for name, value in _ATTRIBUTE.findall(attributes):
+            name = name.lower()
+            if name == "hidden" or (name == "aria-hidden" and "true" in value) or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
+                return True, False
+            named = named or (name in ("class", "id", "role") and _named(value, inner))
+    return False, named
+
+
+def is_tag(kind: str) -> bool:
+    return kind[0] == "<"
+
+
+def is_beside(kind: str) -> bool:
+    """Whether a context is that of an element which is no content by nature or name."""
+    return kind == HINT or kind.startswith("aside")
+
+
+def _held(steps: Steps, hints: list[tuple[int, int]], regions: dict[str, list[list[int]]]) -> list[tuple[int, int]]:
+    """Of the containers with a hint, as (first step, last step + 1): those for which it holds, as the page's body isn't in them."""
     if not hints:
         return []
     words = [0]
     for kind, n in steps:
-        words.append(words[-1] + (n if kind == PLAIN else 0))
+        words.append(words[-1] + (0 if is_tag(kind) or is_beside(kind) or " link" in kind else n))
     count = lambda r: words[r[1]] - words[r[0]]
     body = max(regions["main"] or regions["article"], key=count, default=[0, len(steps)])
     story = max(regions["article"], key=count, default=body)
@@ -108,31 +127,90 @@ def _held(steps: list[tuple[int, int]], hints: list[tuple[int, int]], regions: d
     return [h for h in hints if holds(h)]
 
 
-def read(page: str) -> tuple[list[tuple[int, int]], list[tuple[int, str]], tuple[int, int] | None]:
+class _Reader:
+    """The open elements of a page, each counted where it matters, and what was read so far."""
+
+    def __init__(self) -> None:
+        self.steps: Steps = []
+        #: (step of a run of words, or -1 for white space; text); '' parts blocks.
+        self.pieces: list[tuple[int, str]] = []
+        self.stack: list[tuple[str, bool, int, bool]] = []  # name, no content by nature, step of its hint or -1, a block of its own
+        self.open: Counter[str] = Counter()
+        self.asides: list[str] = []
+        self.blocks: list[str] = []
+        self.paragraphs = [0]  # open in each scope
+        self.hints: list[tuple[int, int]] = []
+        self.regions: dict[str, list[list[int]]] = {"article": [], "main": []}
+        self.unclosed: dict[str, list[int]] = {"article": [], "main": []}
+
+    def close(self) -> None:
+        """The innermost element ends."""
+        tag, hidden, hint, block = self.stack.pop()
+        self.open[tag] -= 1
+        if hidden:
+            self.asides.pop()
+        if hint >= 0:
+            self.hints.append((hint, len(self.steps)))
+        if block:
+            self.blocks.pop()
+        if tag == "p":
+            self.paragraphs[-1] -= 1
+        elif tag in _P_SCOPES:
+            self.paragraphs.pop()
+        if tag in self.regions:
+            self.regions[tag][self.unclosed[tag].pop()].append(len(self.steps))
+
+    def close_to(self, tag: str) -> None:
+        while self.stack[-1][0] != tag:
+            self.close()
+        self.close()
+
+    def words(self, value: str) -> None:
+        n = len(value.split())
+        if not n:
+            if value and self.pieces:
+                self.pieces.append((-1, value))
+            return
+        if self.asides:
+            kind = f"aside {self.asides[-1]}"
+        else:
+            name, _, named = (self.blocks[-1] if self.blocks else "page").partition(" ")
+            kind = name + (" link" if self.open["a"] else "") + (" named" if named else "")
+        self.steps.append((kind, n))
+        self.pieces.append((len(self.steps) - 1, value))
+
+    def begin(self, tag: str, attributes: str) -> None:
+        """An element that isn't empty begins; it may end others first."""
+        if tag in _BLOCK_ENDS_P:
+            while self.paragraphs[-1]:
+                self.close_to("p")
+        while self.stack and self.stack[-1][0] in _CLOSES.get(tag, ()):
+            self.close()
+        hidden, named = _nature(tag, attributes, any(self.open[s] for s in _SCOPES))
+        block = tag not in _INLINE and tag not in _CLEAR
+        if block:
+            self.blocks.append((tag if tag in _BLOCKS else "other") + (" named" if named and tag in _SENTENCES else ""))
+        if hidden:
+            self.asides.append(tag if tag in _ASIDE or tag == "header" else "hidden")
+        if tag == "p":
+            self.paragraphs[-1] += 1
+        elif tag in _P_SCOPES:
+            self.paragraphs.append(0)
+        if tag in self.regions:
+            self.unclosed[tag].append(len(self.regions[tag]))
+            self.regions[tag].append([len(self.steps) - 1])
+        self.open[tag] += 1
+        self.stack.append((tag, hidden, len(self.steps) - 1 if named and tag not in _SENTENCES else -1, block))
+
+
+def read(page: str) -> tuple[Steps, list[tuple[int, str]], tuple[int, int] | None]:
     """A page as (kind, number) steps, its pieces of text (step, text) with '' between blocks, and the marked region.
 
-    A step is a run of words of one kind, or one tag (MARK). The region is (first step, last step + 1) of the only
+    A step is a run of words of one context, or one tag. The region is (first step, last step + 1) of the only
     ``article``, or else the only ``main``; None if there is no such element.
     """
-    steps: list[tuple[int, int]] = []
-    pieces: list[tuple[int, str]] = []
-    stack: list[tuple[str, bool, int]] = []  # tag, whether it is no content by its nature, the step of its hint or -1
-    hints: list[tuple[int, int]] = []
-    links = beside = 0
-    regions: dict[str, list[list[int]]] = {"article": [], "main": []}
-    skip = None
-
-    def pop() -> None:
-        nonlocal links, beside
-        tag, hidden, hint = stack.pop()
-        links -= tag == "a"
-        beside -= hidden
-        if hint >= 0:
-            hints.append((hint, len(steps)))
-        if tag in regions:
-            next(r for r in reversed(regions[tag]) if len(r) == 1).append(len(steps))
-
-    at = 0
+    r = _Reader()
+    at, skip = 0, None
     while at < len(page):
         if skip:
             end = re.compile(rf"</{skip}[\s/>]", re.I).search(page, at)
@@ -142,139 +220,156 @@ def read(page: str) -> tuple[list[tuple[int, int]], list[tuple[int, str]], tuple
         at = m.end()
         close, tag, attributes, text = m[1], m[2], m[3], m[4]
         if text is not None:
-            value = html.unescape(text)
-            words = len(value.split())
-            if words:
-                kind = BESIDE if beside else LINKED if links else PLAIN
-                steps.append((kind, words))
-                if not beside:
-                    pieces.append((len(steps) - 1, value))
-            elif value and pieces:
-                pieces.append((-1, value))  # of the piece before
+            r.words(html.unescape(text))
             continue
         if tag is None:
             continue
         tag = tag.lower()
         if tag not in _INLINE:
-            pieces.append((len(steps), ""))
+            r.pieces.append((-1, ""))
         elif tag == "br":
-            pieces.append((len(steps), " "))
-        steps.append((MARK, 1))
+            r.pieces.append((-1, " "))
+        known = tag in _BLOCKS or tag in _CLEAR or tag in _INLINE or tag in _ASIDE or tag in _VOID
+        r.steps.append((f"<{tag}>" if known else "<other>", 1))
         if close:
-            if any(t == tag for t, _, _ in stack):
-                while stack[-1][0] != tag:
-                    pop()
-                pop()
-            continue
-        if tag in _RAW:
+            if r.open[tag]:
+                r.close_to(tag)
+        elif tag in _RAW:
             skip = None if attributes.rstrip().endswith("/") and tag != "script" else tag
-            continue
-        if tag in _VOID or attributes.rstrip().endswith("/"):
-            continue
-        if tag in _BLOCK_ENDS_P and stack and any(t == "p" for t, _, _ in stack[-8:]):
-            while any(t == "p" for t, _, _ in stack[-8:]):
-                pop()
-        while stack and stack[-1][0] in _CLOSES.get(tag, ()):
-            pop()
-        hidden, hint = _beside(tag, attributes, stack)
-        if tag in regions:
-            regions[tag].append([len(steps) - 1])
-        stack.append((tag, hidden, len(steps) - 1 if hint else -1))
-        links += tag == "a"
-        beside += hidden
-    while stack:
-        pop()
-    dropped = bytearray(len(steps))
+        elif tag not in _VOID and not attributes.rstrip().endswith("/"):
+            r.begin(tag, attributes)
+    while r.stack:
+        r.close()
     upto = 0
-    for first, last in sorted(_held(steps, hints, regions)):
+    for first, last in sorted(_held(r.steps, r.hints, r.regions)):
         for i in range(max(first, upto), last):
-            dropped[i] = steps[i][0] != MARK
+            kind, n = r.steps[i]
+            if not is_tag(kind) and not is_beside(kind):
+                r.steps[i] = (HINT, n)
         upto = max(upto, last)
-    steps = [(BESIDE, n) if out else (kind, n) for (kind, n), out in zip(steps, dropped, strict=True)]
-    kept: list[tuple[int, str]] = []
-    for step, value in pieces:
-        if step < 0:
-            if kept:
-                kept.append((kept[-1][0], value))
-        elif not value.strip() or not dropped[step]:
-            kept.append((step, value))
-    pieces = kept
-    one = next((regions[t][0] for t in ("article", "main") if len(regions[t]) == 1), None)
-    return steps, pieces, tuple(one) if one else None
-
-
-def best_region(steps: list[tuple[int, int]], weights: tuple[float, float, float]) -> tuple[int, int]:
-    """The first and last step + 1 of the contiguous steps of the largest sum; the first such, (0, 0) if none is positive."""
-    score = {PLAIN: 1.0, MARK: -weights[0], LINKED: -weights[1], BESIDE: -weights[2]}
+    one = next((r.regions[t][0] for t in ("article", "main") if len(r.regions[t]) == 1), None)
+    return r.steps, r.pieces, tuple(one) if one else None
+
+
+# ---------------------------------------------------------------- weights
+
+
+def prior(kind: str) -> float:
+    """How likely a word of a context is content, or a tag stands in content, before any labelled page is seen."""
+    if is_tag(kind):
+        return 0.5
+    if is_beside(kind):
+        return 0.03
+    name, *more = kind.split()
+    if "named" in more:
+        return 0.55
+    if "link" in more:
+        return 0.8 if name in _SENTENCES else 0.35
+    return 0.95 if name in _SENTENCES else 0.8
+
+
+class Weights(dict):
+    """The score of a word of each context and of each tag, from (inside, outside) counts."""
+
+    def __init__(self, counts: dict[str, tuple[int, int]] | None = None):
+        super().__init__()
+        for kind, (inside, outside) in (counts or {}).items():
+            self[kind] = self._score(kind, inside, outside)
+
+    @staticmethod
+    def _score(kind: str, inside: int, outside: int) -> float:
+        share = (inside + PRIOR * prior(kind)) / (inside + outside + PRIOR)
+        if kind in ("<article>", "<main>"):
+            return -TAG_LOW
+        return -(TAG_LOW + (TAG_HIGH - TAG_LOW) * (1 - share)) if is_tag(kind) else 2 * share - 1
+
+    def __missing__(self, kind: str) -> float:
+        own = self[kind] = self._score(kind, 0, 0)
+        return own
+
+
+def counted(page: str) -> dict[str, list[int]]:
+    """For each context and tag of a page: how many stand inside and outside what its author marked; empty without a mark."""
+    steps, _, marked = read(page)
+    found: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+    if marked:
+        for i, (kind, n) in enumerate(steps):
+            found[kind][not (marked[0] <= i < marked[1] and not is_beside(kind))] += n
+    return found
+
+
+def fit(pages: DataFrame, key: str = "page_id", page: str = "html", fit_pages: int = FIT_PAGES) -> Weights:
+    """The weights that labelled pages give.
+
+    About ``fit_pages`` pages are read, whole; a row per context or tag (the names are a fixed set) comes back summed.
+    """
+    many = max(1, pages.count())
+    draw = F.pmod(F.xxhash64(F.col(key), F.lit(8)), F.lit(1 << 20)) / float(1 << 20)
+    sample = pages.where(F.col(page).isNotNull() & (draw < min(1.0, fit_pages / many))).select(F.col(page).alias("_page"))
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+        for frame in frames:
+            for value in frame["_page"]:
+                for kind, (inside, outside) in counted(value).items():
+                    sums[kind][0] += inside
+                    sums[kind][1] += outside
+        yield pd.DataFrame([(k, a, b) for k, (a, b) in sums.items()], columns=["kind", "inside", "outside"])
+
+    summed = sample.mapInPandas(count, "kind string, inside long, outside long").groupBy("kind").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
+    return Weights({r["kind"]: (r["inside"], r["outside"]) for r in summed.collect()})
+
+
+# ---------------------------------------------------------------- extraction
+
+
+def best_stretch(scores: list[float]) -> tuple[int, int]:
+    """The first place and last place + 1 of the contiguous scores of the largest sum; the first such, (0, 0) if none is positive."""
     best, found, total, start = 0.0, (0, 0), 0.0, 0
-    for i, (kind, n) in enumerate(steps):
+    for i, score in enumerate(scores):
         if total <= 0:
             total, start = 0.0, i
-        total += score[kind] * n
+        total += score
         if total > best:
             best, found = total, (start, i + 1)
     return found
 
 
-def main_text(page: str | None, weights: tuple[float, float, float] = DEFAULT) -> str:
+def main_text(page: str | None, weights: Weights | None = None) -> str:
     """The text of a page's content region."""
     if not page:
         return ""
+    weights = Weights() if weights is None else weights
     steps, pieces, _ = read(page)
-    first, last = best_region(steps, weights)
-    blocks, block, inside = [], [], False
-    for step, text in [*pieces, (last, "")]:
-        if text:
-            block.append(text)
-            inside |= first <= step < last
-        else:  # a block that the region touches belongs to it whole
-            if inside:
+    scores = [weights[kind] * n for kind, n in steps]
+    first, last = best_stretch(scores)
+    blocks, block, total, touched = [], [], 0.0, False
+    for step, text in [*pieces, (-1, "")]:
+        if step < 0 and not text:
+            if touched and total > 0:
                 blocks.append(" ".join("".join(block).split()))
-            block, inside = [], False
+            block, total, touched = [], 0.0, False
+        elif step < 0:
+            block.append(text)
+        elif scores[step] > 0 or not is_beside(steps[step][0]):
+            block.append(text)
+            total += scores[step]
+            touched |= first <= step < last
+        else:
+            block.append(" ")
     return "\n\n".join(filter(None, blocks))
 
 
-def fit(pages: DataFrame, key: str = "page_id", page: str = "html", fit_pages: int = FIT_PAGES) -> tuple[float, float, float]:
-    """The weights under which regions agree best with those that labelled pages mark (F1 over plain words).
-
-    About ``fit_pages`` pages are read, whole; a row per combination and task comes back summed.
-    """
-    grid = [(t, k, a) for t in TAG for k in LINK for a in ASIDE]
-    many = max(1, pages.count())
-    draw = F.pmod(F.xxhash64(F.col(key), F.lit(8)), F.lit(1 << 20)) / float(1 << 20)
-    sample = pages.where(F.col(page).isNotNull() & (draw < min(1.0, fit_pages / many))).select(F.col(page).alias("_page"))
-
-    def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = [[0, 0, 0] for _ in grid]
-        for frame in frames:
-            for value in frame["_page"]:
-                steps, _, marked = read(value)
-                if marked is None:
-                    continue
-                words = [0]
-                for kind, n in steps:
-                    words.append(words[-1] + (n if kind == PLAIN else 0))
-                inside = words[marked[1]] - words[marked[0]]
-                for own, weights in zip(sums, grid, strict=True):
-                    a, b = best_region(steps, weights)
-                    both = max(0, words[min(b, marked[1])] - words[max(a, marked[0])]) if min(b, marked[1]) > max(a, marked[0]) else 0
-                    own[0] += both
-                    own[1] += words[b] - words[a]
-                    own[2] += inside
-        yield pd.DataFrame([(i, *own) for i, own in enumerate(sums)], columns=["i", "hit", "found", "marked"])
-
-    summed = sample.mapInPandas(judge, "i int, hit long, found long, marked long").groupBy("i").agg(F.sum("hit").alias("hit"), F.sum("found").alias("found"), F.sum("marked").alias("marked"))
-    scores = {r["i"]: 2 * r["hit"] / max(1, r["found"] + r["marked"]) for r in summed.collect() if r["marked"]}
-    return grid[max(scores, key=lambda i: (scores[i], -i))] if scores else DEFAULT
-
-
-def extract(pages: DataFrame, weights: tuple[float, float, float], page: str = "html", to: str = "text") -> DataFrame:
+def extract(pages: DataFrame, weights: Weights, page: str = "html", to: str = "text") -> DataFrame:
     """Adds each page's main text."""
+    plain = dict(weights)
 
     @F.pandas_udf("string")
     def text(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        own = Weights()
+        own.update(plain)
         for s in values:
-            yield pd.Series([main_text(v, weights) for v in s], dtype=object)
+            yield pd.Series([main_text(v, own) for v in s], dtype=object)
 
     return pages.withColumn(to, text(F.col(page)))
 

@@ -120,6 +120,63 @@ def test_patterns_find_what_no_seed_covers(spark):
     assert not spans[200]
 
 
+def test_discovery_of_planted_identifiers(spark):
+    """Identifiers of forms that no seed has, behind and before words that seeds have: most are found, and hardly anything else."""
+    import random
+
+    from docweave.llm import pii
+
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 8)))
+    filler = lambda n: " ".join(word() for _ in range(n))
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    rows, planted = [], {}
+    for i in range(40):
+        rows.append((i, f"{filler(8)} mail {word()}@{word()}.org soon {filler(5)} phone +1 ({digits(3)}) {digits(3)}-{digits(4)} daily {filler(4)} password={digits(9)}{'abcdef'[i % 6]}{digits(8)} end"))
+    for i in range(100, 120):
+        mail, phone, secret = f"{word()}{i}(at){word()}", f"{digits(3)}.{digits(4)}", f"{word()}{digits(5)}"
+        text = f"{filler(6)} mail {mail} soon {filler(5)} phone {phone} daily {filler(3)} password={secret} end {filler(2)}{i} x{digits(3)} {filler(2)}"
+        rows.append((i, text))
+        planted[i] = {(k, text.index(x), text.index(x) + len(x)) for k, x in ((0, mail), (3, phone), (4, secret))}
+    found = {r["doc_id"]: {(s["kind"], s["start"], s["end"]) for s in r["spans"]} for r in pii.find_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hits = sum(len(found[i] & p) for i, p in planted.items())
+    assert hits >= 0.95 * sum(map(len, planted.values()))
+    assert hits >= 0.95 * sum(len(found[i]) for i in planted)
+
+
+def test_redaction(spark):
+    from docweave.llm import pii
+
+    given = [
+        ("a bc d", []), ("x 12 \U0001F600é 34", [(2, 1, 4), (8, 2, 10)]), ("0123456789", [(0, 0, 4), (2, 1, 3), (3, 2, 8), (8, 3, 10)]),
+        ("\ufeffab\ufeffcd", [(1, 0, 3)]), ("abcd " * 500, [(5 * i, i % 4, 5 * i + 3 + i % 4) for i in range(500)]), (None, []),
+    ]
+
+    def plain(t, spans):
+        if t is None:
+            return None
+        out, at = "", 0
+        for a, k, b in spans:
+            if a >= at:
+                out += t[at:a] + f"[{pii.KINDS[k].upper()}]"
+            at = max(at, b)
+        return out + t[at:]
+
+    df = spark.createDataFrame([(i, t, s) for i, (t, s) in enumerate(given)], f"i int, t string, s array<struct<{pii.PLACE}>>")
+    got = {r["i"]: r["x"] for r in df.select("i", pii.redacted(F.col("t"), F.col("s")).alias("x")).collect()}
+    assert got == {i: plain(*g) for i, g in enumerate(given)}
+
+
+def test_secrets_are_told_apart(spark, small):
+    got = q.QUERIES["op1_pii"](spark, small).collect()
+    texts = {r["doc_id"]: r["text"] or "" for r in rows(spark, small)}
+    for r in got:
+        own = [s.split(":") for s in r["secrets"].split(",") if s]
+        assert r["n_secret"] == len(own) and r["n_spans"] == len(own) + len([s for s in r["spans"].split(",") if s])
+        assert all(k == "secret" and texts[r["doc_id"]][int(a) : int(b)].strip() for k, a, b in own)
+        assert r["n_secret"] >= len(re.findall(r"\bA[A-Z]IA[A-Z0-9]{16}\b", texts[r["doc_id"]]))
+
+
 # ---------------------------------------------------------------- 2
 
 
@@ -502,6 +559,71 @@ def test_main_text_in_a_hinted_wrapper(name, tag):
     assert main_text(titled).split("\n\n") == ["The title", *paragraphs]
 
 
+def test_best_stretch():
+    """The linear scan against all stretches."""
+    import random
+
+    from docweave.llm.html_text import best_stretch
+
+    rng = random.Random(3)
+    for _ in range(300):
+        scores = [rng.choice([-3.0, -1.0, -0.5, 0.0, 0.5, 2.0]) for _ in range(rng.randrange(12))]
+        best = max((sum(scores[a:b]) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)), default=0.0)
+        a, b = best_stretch(scores)
+        assert sum(scores[a:b]) == max(best, 0.0) and (a < b or best <= 0)
+
+
+def test_own_paragraphs_stay_whatever_their_names():
+    from docweave.llm.html_text import main_text
+
+    page = "<body><article><h1>On sharing</h1><p>One two three four five.</p><p class='social'>Six seven eight nine.</p><p id='reply'>Ten eleven twelve.</p><ul><li>A point with <a href=x>a link</a> made</li></ul></article><div class=ad>Buy this now</div></body>"
+    assert main_text(page) == "On sharing\n\nOne two three four five.\n\nSix seven eight nine.\n\nTen eleven twelve.\n\nA point with a link made"
+
+
+def test_weights_come_from_labelled_pages(spark):
+    """Where labelled pages keep their text in one block and their noise in another, unlabelled pages are read so too."""
+    from docweave.llm import html_text
+
+    labelled = "<body><div>Noise of all the kinds there are on a page</div><article><p>The text that is meant to be read by all.</p></article></body>"
+    df = spark.createDataFrame([(i, labelled) for i in range(20)], "page_id long, html string")
+    weights = html_text.fit(df)
+    page = "<body><div>Some words in a block</div><p>And the story of the day.</p><div>More words in a block</div></body>"
+    assert html_text.main_text(page, weights) == "And the story of the day."
+    assert "Some words" in html_text.main_text(page)
+    assert weights["p"] > 0.9 and weights["div"] < 0 and all(w < 0 for k, w in weights.items() if html_text.is_tag(k))
+
+
+def test_labelled_pages_are_found_again(spark, small):
+    """Precision and recall, by words, of what is read from pages against the elements that their authors marked."""
+    import html
+    from collections import Counter
+
+    got = {r["page_id"]: Counter(r["text"].split()) for r in q.QUERIES["op8_html"](spark, small).collect()}
+    both = found = marked = 0
+    for r in rows(spark, small, "pages"):
+        own = re.search(r"(?s)<article>(.*)</article>", r["html"] or "")
+        if own:
+            want = Counter(html.unescape(re.sub("<[^>]*>", " ", own[1])).split())
+            both, found, marked = both + (got[r["page_id"]] & want).total(), found + got[r["page_id"]].total(), marked + want.total()
+    assert marked and both >= 0.95 * found and both >= 0.95 * marked
+
+
+@pytest.mark.parametrize("part", ["<div class=x>", "<p><b>", "<div class=ad>", "<a href=x>w <table><tr><td>", "<li>", "</p>", "<"])
+def test_time_of_hostile_pages(part):
+    """Twice the page takes about twice the time, however deep its elements are nested."""
+    import time
+
+    from docweave.llm.html_text import main_text
+
+    def seconds(n: int) -> float:
+        began = time.perf_counter()
+        main_text(part * (n // len(part)) + "word")
+        return time.perf_counter() - began
+
+    seconds(10_000)
+    assert seconds(400_000) < 6 * seconds(200_000) + 0.5
+
+
 # ---------------------------------------------------------------- 10
 
 
