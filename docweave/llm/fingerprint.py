@@ -58,16 +58,17 @@ def exact_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     return grouped.select("group_key", F.col("_digest").alias("fingerprint"), F.sha2("_form", 256).alias("form_sha256"), "n")
 
 
-def with_next(df: DataFrame, key: str, columns: list[str], prefix: str = "next_") -> DataFrame:
+def with_next(df: DataFrame, key: str, columns: list[str], prefix: str = "next_", tell: tuple[str, ...] | None = None) -> DataFrame:
     """(key, *columns, and their values in the next row in descending order of the integer ``key``; the last row's next is the first).
 
     No task sorts everything: keys fall into buckets (ranges between quantiles, cut evenly; null keys by ranges of a hash of
     the columns), the first row of each bucket is also dealt to the bucket before it, and the rest is a window within each
     bucket. What comes to the driver is the ends of ranges, at most 2 x ``QUANTILES`` + 2 rows. One shuffle of the rows,
     into as many partitions as their bytes need; the table of first rows, one per bucket, is joined to the rows before.
+    ``tell``: columns that tell rows apart (all, if not given); what follows from them need not be computed to find places.
     """
     rows = df.select(F.col(key).cast("long").alias("_key"), *columns)
-    size = sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c, kind in df.select(*columns).dtypes if kind == "string"), F.lit(0).cast("long"))
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c, kind in df.select(*(tell or columns)).dtypes if kind == "string"), F.lit(0).cast("long"))
     total, edges, nulls, held = rows.agg(F.count("*"), F.percentile_approx("_key", [i / QUANTILES for i in range(QUANTILES + 1)], 10_000), F.count_if(F.col("_key").isNull()), F.sum(size)).first()
     cuts = sorted(set(edges or [0]))
     fine = max(1, round((total - nulls) / BUCKET_ROWS / max(1, len(cuts) - 1)))
@@ -75,7 +76,7 @@ def with_next(df: DataFrame, key: str, columns: list[str], prefix: str = "next_"
     low = F.element_at(F.array(*[F.lit(c).cast("double") for c in cuts]), F.greatest(place, F.lit(1)))
     high = F.element_at(F.array(*[F.lit(c).cast("double") for c in [*cuts[1:], cuts[-1] + 1]]), F.greatest(place, F.lit(1)))
     within = F.least(F.greatest(F.floor((F.col("_key") - low) / F.greatest(high - low, F.lit(1.0)) * fine), F.lit(0)), F.lit(fine - 1))
-    tie = F.xxhash64(*columns)
+    tie = F.xxhash64(*(tell or columns))
     free = max(1, round(nulls / BUCKET_ROWS))
     bucket = F.when(F.col("_key").isNull(), F.floor((tie / float(1 << 64) + 0.5) * free).cast("long") - free).otherwise(place.cast("long") * fine + within)
     # the first row of a bucket: the largest key, and among equals the largest hash
@@ -84,7 +85,8 @@ def with_next(df: DataFrame, key: str, columns: list[str], prefix: str = "next_"
     ends = [(r["_range"], r["b"]) for r in heads.groupBy("_range").agg(F.min("_b").alias("b")).orderBy("_range").collect()]
     above = F.broadcast(df.sparkSession.createDataFrame([(a, b) for (a, _), (_, b) in zip(ends, [*ends[1:], *ends[:1]], strict=True)], "_range long, _above long"))
     up = Window.partitionBy("_range").orderBy("_b")
-    tops = heads.join(above, "_range").select("_b", F.col("_head._key").alias("_hk"), F.col("_head._tie").alias("_ht"), F.coalesce(F.lead("_b").over(up), "_above").alias("_also"))
+    placed = heads.join(above, "_range").select("_b", F.col("_head._key").alias("_hk"), F.col("_head._tie").alias("_ht"), F.coalesce(F.lead("_b").over(up), "_above").alias("_also"))
+    tops = settle(placed, "tops")  # as a table its size is known, so the join broadcasts it while it is small
     first = F.col("_key").eqNullSafe(F.col("_hk")) & (F.col("_tie") == F.col("_ht"))
     home, guest = F.struct(F.col("_b").alias("b"), F.lit(0).alias("guest")), F.struct(F.col("_also").alias("b"), F.lit(1).alias("guest"))
     dealt = keyed.join(tops, "_b").select("_key", "_tie", *columns, F.explode(F.when(first, F.array(home, guest)).otherwise(F.array(home))).alias("_to")).select("_key", "_tie", *columns, "_to.b", "_to.guest")
@@ -121,7 +123,7 @@ def op4_fingerprint(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", text_of("text").alias("text"))
     groups = settle(exact_groups(docs), "groups").select(F.col("group_key").alias("group_id"), "fingerprint", "form_sha256", F.col("n").alias("group_size"))
     marked = with_fingerprint(docs, "text", "form").select("doc_id", "text", "fingerprint", F.sha2("form", 256).alias("form_sha256"))
-    pairs = with_next(marked, "doc_id", ["text", "fingerprint", "form_sha256"]).withColumn("edited", edited(F.col("text"), F.col("next_text")))
+    pairs = with_next(marked, "doc_id", ["text", "fingerprint", "form_sha256"], tell=("text",)).withColumn("edited", edited(F.col("text"), F.col("next_text")))
     pairs = with_fingerprint(pairs, "edited", "edited_form", "edited_fingerprint")
     one, none = F.lit(1.0), F.lit(0.0)
     like_edited = (F.col("fingerprint") == F.col("edited_fingerprint")) & (F.col("form_sha256") == F.sha2("edited_form", 256))
