@@ -36,6 +36,19 @@ def running(numbers: Column) -> Column:
     return F.when(F.size(numbers) > 0, let(numbers, whole)).otherwise(F.array().cast("array<int>"))
 
 
+#: Stands for a match while a text is cut at its matches.
+MARK = "\uE00F"
+
+
+def gaps(text: Column, pattern: str) -> Column:
+    """What is before, between and behind the matches of a pattern that never matches nothing.
+
+    ``split`` compiles its pattern anew for every text, ``regexp_replace`` once; so matches become a mark, and the text is
+    cut there. Texts that hold the mark themselves are split.
+    """
+    return F.when(F.contains(text, F.lit(MARK)), F.split(text, pattern, -1)).otherwise(F.split(F.regexp_replace(text, pattern, MARK), MARK, -1))
+
+
 def find_all(text: Column, pattern: str) -> Column:
     """array<struct<start, end, text>> of all matches of a pattern that never matches nothing; offsets in code points.
 
@@ -44,11 +57,11 @@ def find_all(text: Column, pattern: str) -> Column:
 
     def of(t: Column) -> Column:
         def places(found: Column) -> Column:
-            def cut(gaps: Column) -> Column:
-                steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, m: F.length(g) + F.length(m))
-                return let(running(steps), lambda sums: F.transform(found, lambda m, i: _span(sums[i] + F.length(gaps[i]), m)))
+            def cut(between: Column) -> Column:
+                steps = F.zip_with(F.slice(between, F.lit(1), F.size(found)), found, lambda g, m: F.length(g) + F.length(m))
+                return let(running(steps), lambda sums: F.transform(found, lambda m, i: _span(sums[i] + F.length(between[i]), m)))
 
-            return let(F.split(t, pattern, -1), cut)
+            return F.when(F.size(found) > 0, let(gaps(t, pattern), cut)).otherwise(F.array().cast("array<struct<start:int,end:int,text:string>>"))
 
         return let(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), places)
 
@@ -97,7 +110,7 @@ def replace_matches(text: Column, pattern: str, make: Callable[[Column], Column]
     def of(t: Column) -> Column:
         def rebuilt(found: Column) -> Column:
             parts = F.concat(F.transform(found, make), F.array(F.lit("")))
-            return F.array_join(F.zip_with(F.split(t, pattern, -1), parts, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
+            return F.array_join(F.zip_with(gaps(t, pattern), parts, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
 
         return F.when(t.rlike(pattern), let(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), rebuilt)).otherwise(t)
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docweave.functions import vocabulary as v
-from docweave.functions.find import let, replace_matches
+from docweave.functions.find import gaps, let, replace_matches
 from docweave.functions.patterns import any_of
 from docweave.functions.text import stable_hash, tidy
 
@@ -200,7 +200,7 @@ def restyled(text: Column, style: str = "random") -> Column:
     def of(t: Column) -> Column:
         def rebuilt(found: Column) -> Column:
             parts = F.concat(F.transform(found, form), F.array(F.lit("")))
-            return F.array_join(F.zip_with(F.split(t, r"\b\d+\b", -1), parts, lambda g, m: F.concat(g, m)), "")
+            return F.array_join(F.zip_with(gaps(t, r"\b\d+\b"), parts, lambda g, m: F.concat(g, m)), "")
 
         return F.when(t.rlike(r"\d"), let(F.regexp_extract_all(t, F.lit(r"\b\d+\b"), F.lit(0)), rebuilt)).otherwise(t)
 

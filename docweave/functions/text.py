@@ -202,6 +202,11 @@ def unbracketed_at(text: Column, place: Column) -> Column:
     return place - count_of(F.substring(text, F.lit(1), place), "<>")
 
 
+def decided(*parts: Column) -> Column:
+    """A number below 2 ** 32 that the parts decide, alike in every run and every engine."""
+    return stable_hash(F.concat_ws("|", *[p.cast("string") for p in parts]))
+
+
 def stable_hash(text: Column) -> Column:
     """A number from the low 32 bits of the MD5 digest."""
     return F.conv(F.substring(F.md5(text), 25, 8), 16, 10).cast("bigint")

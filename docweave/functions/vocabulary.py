@@ -93,6 +93,12 @@ UNITS = (
 )
 
 WORKERS = ("employee", "worker", "staff", "personnel", "associate", "team member", "person", "people", "individual", "contractor", "engineer", "manager", "driver", "miner", "nurse", "teacher", "technician", "headcount", "workforce", "full-time equivalent")
+#: Words for workers that may stand for each other: of any kind, by trade, by rank.
+WORKER_POOLS = {
+    "general": ("employees", "workers", "staff", "personnel", "associates"),
+    "trades": ("engineers", "drivers", "miners", "nurses", "teachers", "technicians", "mechanics", "electricians"),
+    "ranks": ("managers", "supervisors", "executives", "directors", "officers"),
+}
 WORK_EVENTS = ("hired", "employed", "laid off", "terminated", "recruited", "dismissed", "furloughed", "eliminated", "added", "retained")
 SITES = ("store", "office", "facility", "facilities", "plant", "warehouse", "location", "branch", "branches", "restaurant", "hotel", "factory", "factories", "mine", "site", "country", "countries", "state", "city", "cities", "market", "region", "center", "centre", "hospital", "school")
 ENTITIES = ("company", "companies", "subsidiary", "subsidiaries", "customer", "supplier", "contract", "agreement", "lawsuit", "claim", "patent", "trademark", "vessel", "aircraft", "vehicle", "loan", "director", "segment", "unit", "product", "well", "project", "member", "collective bargaining agreement", "bargaining unit", "swap", "option contract", "futures contract", "note")
@@ -116,6 +122,7 @@ GUIDANCE = ("Statement", "Interpretation", "Opinion", "Topic", "Subtopic", "Bull
 EXHIBITS = ("Exhibit", "Note", "Notes", "Schedule", "Section", "Sections", "Item", "Items", "Page", "Pages", "Part", "Appendix", "Annex", "Article", "Table", "Figure", "Footnote", "Paragraph", "Form", "No.")
 INDEXES = ("S&P", "Nasdaq", "Dow Jones", "Russell", "Wilshire", "Fortune", "MSCI", "FTSE", "Nikkei", "TOPIX", "Hang Seng", "DAX", "CAC", "IBEX", "SMI", "ASX", "TSX", "KOSPI", "Nifty", "Euro Stoxx")
 STREETS = ("Street", "St", "Avenue", "Ave", "Road", "Rd", "Boulevard", "Blvd", "Drive", "Dr", "Lane", "Ln", "Way", "Court", "Ct", "Plaza", "Square", "Parkway", "Highway", "Terrace", "Place")
+STREETS_SHORT = ("St", "Ave", "Rd", "Blvd", "Dr", "Ln", "Ct")
 STATES = ("AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "FL", "GA", "HI", "ID", "IL", "IN", "IA", "KS", "KY", "LA", "ME", "MD", "MA", "MI", "MN", "MS", "MO", "MT", "NE", "NV", "NH", "NJ", "NM", "NY", "NC", "ND", "OH", "OK", "OR", "PA", "RI", "SC", "SD", "TN", "TX", "UT", "VT", "VA", "WA", "WV", "WI", "WY", "DC")
 COMMODITIES = ("crude oil", "natural gas", "gasoline", "diesel", "propane", "coal", "electricity", "gold", "silver", "copper", "platinum", "palladium", "aluminum", "nickel", "zinc", "lead", "iron ore", "steel", "corn", "wheat", "soybean", "cotton", "coffee", "cocoa", "sugar", "cattle", "hog", "lumber")
 

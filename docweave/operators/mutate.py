@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docweave.functions import numbers as nm
+from docweave.functions import text as tx
 from docweave.functions import vocabulary as v
 from docweave.functions.find import let, replace_matches
 from docweave.functions.patterns import NUMBER, any_of
@@ -24,12 +25,12 @@ OFFSET = 0.75
 def uniform(low: Column | float, high: Column | float, *parts: Column) -> Column:
     """A number from low to high that the parts decide."""
     low, high = (x if isinstance(x, Column) else F.lit(float(x)) for x in (low, high))
-    return low + (high - low) * F.pmod(F.xxhash64(*parts), F.lit(1 << 40)).cast("double") / float(1 << 40)
+    return low + (high - low) * (tx.decided(*parts) / float(1 << 32))
 
 
 def chosen(options: list[Column], *parts: Column) -> Column:
     """One of some expressions, as the parts decide."""
-    return F.array(*options)[F.pmod(F.xxhash64(*parts), F.lit(len(options))).cast("int")]
+    return F.array(*options)[(tx.decided(*parts) % len(options)).cast("int")]
 
 
 def _scale(magnitude: Column, *parts: Column) -> Column:
@@ -126,7 +127,7 @@ def quantity(text: Column, seed: Column, strategy: str = "shared_scale") -> Colu
         to_base = F.create_map(*[F.lit(x) for u in own for x in (u[0].lower(), u[2])])
         surface = F.regexp_extract(F.lower(text), rf"({any_of(u[0] for u in own)})s?\b", 1)
         names, factors = F.array(*[F.lit(u[0]) for u in own]), F.array(*[F.lit(u[2]) for u in own])
-        pick = F.pmod(F.xxhash64(seed, F.lit("unit")), F.lit(len(own))).cast("int")
+        pick = (tx.decided(seed, F.lit("unit")) % len(own)).cast("int")
         n = numbers(F.array(_first_number(text) * to_base[surface] / factors[pick]), seed, strategy)[0]
         form = F.concat(nm.with_commas(F.round(n, 3)), F.lit(" "), names[pick], F.when(names[pick].rlike("(?:feet|foot|inch)$"), "").otherwise("s"))
         out = out.when((surface != "") & text.rlike(rf"(?i)\b{any_of(u[0] for u in own)}s?\b"), form)
@@ -138,7 +139,7 @@ def reference(text: Column, seed: Column) -> Column:
 
     def other(m: Column) -> Column:
         top = F.pow(F.lit(10.0), F.length(m)).cast("bigint")
-        step = 1 + F.pmod(F.xxhash64(seed, m), top - 1)
+        step = 1 + tx.decided(seed, m) % (top - 1)
         return _fit(F.pmod(m.cast("bigint") + step, top), F.length(m))
 
     return replace_matches(text, r"\b\d{1,15}", other)
@@ -158,6 +159,19 @@ def time(text: Column, seed: Column) -> Column:
     return F.when(date.isNotNull(), F.date_format(moved, "MMMM d, yyyy")).when(year.isNotNull(), F.concat(F.regexp_extract(text, r"^(.*?)\b(?:19|20)\d{2}\b", 1), other.cast("string"), F.regexp_extract(text, r"\b(?:19|20)\d{2}\b(.*)$", 1))).otherwise(text)
 
 
+def worker_terms(text: Column, seed: Column) -> Column:
+    """A text whose words for workers are replaced by the next of their pool but ``seed`` - 1; plurals and pools stay."""
+    out = text
+    for pool in v.WORKER_POOLS.values():
+        names = F.array(*[F.lit(w) for w in pool])
+        out = replace_matches(out, rf"(?i)\b{any_of(pool)}\b", _next_of(names, len(pool), seed))
+    return out
+
+
+def _next_of(names: Column, n: int, seed: Column):
+    return lambda m: F.get(names, F.pmod(F.array_position(names, F.lower(m)) - 1 + seed, F.lit(n)).cast("int"))
+
+
 def span_text(text: Column, label: Column, seed: Column) -> Column:
     """A span varied as its label asks."""
     return let(F.struct(text.alias("t"), label.alias("l"), seed.alias("s")), lambda x: _span_text(x["t"], x["l"], x["s"]))

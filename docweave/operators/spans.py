@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -161,7 +162,7 @@ SITE = rf"(?i)(?<![\w.,$]){NUMBER}\s+{_FEW}{any_of(v.SITES)}s?\b"
 ENTITY = rf"(?i)(?<![\w.,$]){NUMBER}\s+{_FEW}{any_of(v.ENTITIES)}s?\b"
 SHARE = rf"(?i)(?<![\w.,$]){NUMBER}\s+{_FEW}{any_of(v.SHARES)}s?\b(?:\s+of\s+(?:common|preferred|ordinary|class\s+\w)\s+(?:stock|shares?))?"
 _PHONE = r"(?<![\w+])(?:\+\d{1,3}[\s.-]?)?(?:\(\d{3}\)\s?|\d{3}[\s.-])\d{3}[\s.-]\d{4}(?!\w)"
-STREET = rf"\b\d{{1,5}}\s+(?:[A-Z][\w.'-]*\s+){{1,4}}(?:{'|'.join(v.STREETS)})\b\.?(?:,?\s+(?i:Suite|Unit|Floor|Apt|Room)\.?\s+[\w-]+)?"
+STREET = rf"\b\d{{1,5}}\s+(?:[A-Z][\w.'-]*\s+){{1,4}}(?:(?:{'|'.join(v.STREETS_SHORT)})\b\.?|(?:{'|'.join(v.STREETS)})\b)(?:,?\s+(?i:Suite|Unit|Floor|Apt|Room)\.?\s+[\w-]+)?"
 
 
 def _is_state(text: Column, span: Column) -> Column:
@@ -282,13 +283,25 @@ def extract(df: DataFrame, text: str, to: str = "spans", chain: list[Extractor]
     source = F.coalesce(F.col(text), F.lit(""))
     marks = F.transform(find_all(source, r"<\d[\d.-]*>"), lambda m: _unbracketed(source, m))
     out = df.withColumn("_plain", tx.unbracketed(source)).withColumn("_marks", marks).withColumn("_claimed", F.array().cast(_NONE))
-    for extractor in chain or extractors():
-        found = let(hidden(F.col("_plain"), F.col("_claimed")), _found(extractor))
-        out = out.withColumn("_claimed", first_claims(F.col("_claimed"), found))
+    for claimed in _claims(chain):
+        out = out.withColumn("_claimed", claimed)
     spans = F.transform(F.array_sort("_claimed"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["label"].alias("label"), F.substring(F.col("_plain"), s["start"] + 1, s["end"] - s["start"]).alias("text")))
     return out.withColumn(to, _merged(F.col("_plain"), spans)).drop("_plain", "_marks", "_claimed")
 
 
+#: Expressions of chains, by the session's context and the chain: thirteen extractors are tens of thousands of calls to the JVM.
+_MADE: dict[tuple, tuple[list[Extractor], list[Column]]] = {}
+
+
+def _claims(chain: list[Extractor] | None) -> list[Column]:
+    """What is claimed after each extractor, from ``_plain``, ``_marks`` and ``_claimed``; made once per session and chain."""
+    key = (SparkContext._active_spark_context.applicationId, None if chain is None else id(chain))
+    if key not in _MADE:
+        own = chain or extractors()
+        _MADE[key] = own, [first_claims(F.col("_claimed"), let(hidden(F.col("_plain"), F.col("_claimed")), _found(e))) for e in own]
+    return _MADE[key][1]
+
+
 def _found(extractor: Extractor) -> Callable[[Column], Column]:
     return lambda seen: F.concat(*[matches(seen, rule, F.col("_marks")) for rule in extractor.rules])
 

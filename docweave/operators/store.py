@@ -74,6 +74,13 @@ def append_new(table: DataFrame, batch: DataFrame, key: str, order: str) -> Data
     return table.unionByName(first.join(table.select(key), key, "left_anti").select(table.columns)).unionByName(batch.where(F.col(key).isNull()))
 
 
+def summary(df: DataFrame, *columns: str) -> DataFrame:
+    """(column, n, mean, sd, least, most): a row per numeric column, from one scan. Nulls don't count; without values only n is known."""
+    stats = {"n": F.count, "mean": F.avg, "sd": F.stddev_samp, "least": F.min, "most": F.max}
+    one = df.agg(*[F.struct(*[f(F.col(c).cast("double")).alias(n) for n, f in stats.items()]).alias(c) for c in columns])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("s")) for c in columns])).alias("x")).select("x.column", "x.s.*")
+
+
 def missing_years(wanted: DataFrame, found: DataFrame) -> DataFrame:
     """Placeholder rows (empty url, no accession) for each firm and year that is wanted and not found."""
     gone = wanted.select("cik", "year").distinct().join(found.select("cik", "year").distinct(), ["cik", "year"], "left_anti")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from docweave.plans import corpus, language
+from docweave.plans import corpus, language, layout, rules
 
-MODULES = (corpus, language)
+MODULES = (corpus, language, rules, layout)
 
 
 def queries() -> dict[str, Callable]:

@@ -1,21 +1,20 @@
-"""Schemas of the engine's datasets."""
+"""Schemas of the engine's datasets, as DDL strings: they need no session to be read."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
-MANIFEST = T.StructType.fromDDL("cik bigint, year int, url string, accession string, original_url string")
-NAMES = T.StructType.fromDDL("cik bigint, name string")
-RESULTS = T.StructType.fromDDL("accession string, documents array<string>, period_of_report string, home_country string")
-REJECTS = T.StructType.fromDDL("cik bigint, year int, url string, reason string")
-CORPUS = T.StructType.fromDDL("text string, accession string, cik bigint, year int")
-SUBMISSIONS = T.StructType.fromDDL(
+MANIFEST = "cik bigint, year int, url string, accession string, original_url string"
+NAMES = "cik bigint, name string"
+RESULTS = "accession string, documents array<string>, period_of_report string, home_country string"
+REJECTS = "cik bigint, year int, url string, reason string"
+CORPUS = "text string, accession string, cik bigint, year int"
+SUBMISSIONS = (
     "name string, tickers array<string>, filings struct<recent: struct<form: array<string>, accessionNumber: array<string>, "
     "primaryDocument: array<string>, filingDate: array<string>, reportDate: array<string>>, files: array<struct<name: string>>>"
 )
 SPAN = "struct<start:int,end:int,label:string,text:string>"
-NER = T.StructType.fromDDL(
+NER = (
     "text string, words array<string>, ner_tags array<string>, template_text string, slot_count int, label_count int, accession string, cik bigint, year int"
 )
 #: The labels of spans. NOISE is reserved and never emitted.
