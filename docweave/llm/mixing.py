@@ -8,8 +8,8 @@
    documents in a seeded order, and of the last one only as many words as are still missing. So each source comes within
    one word of its target, and no document is taken more than ``max_epochs`` times.
 
-The seeded order is that of md5(seed, key). Running totals go by bucket (the first three hex digits) and then within a
-bucket, so a source that holds most of the rows is spread over 4096 groups. All sums are of whole numbers: reruns and
+The seeded order is that of md5(seed, key). Running totals go by bucket (the first four hex digits) and then within a
+bucket, so a source that holds most of the rows is spread over 65,536 groups: a third of ten billion documents is 50,000 a group. All sums are of whole numbers: reruns and
 other partitionings agree.
 
 Null and empty texts have size 0 and are taken 0 times. The null source is a source like any other and comes last in
@@ -26,6 +26,8 @@ from docweave.llm.common import settle, text_of
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = "mix-1"
+#: Hex digits of the draw that make a bucket of a source.
+BUCKET_DIGITS = 4
 
 
 def words(text: Column) -> Column:
@@ -67,24 +69,30 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs:
     )
 
 
-def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(key, *keep, source, size, source_size, target, taken): how many words of each document the mix takes."""
+def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED, keep: tuple[str, ...] = (), prefix: str = "") -> DataFrame:
+    """(key, *keep, source, size, source_size, target, taken): how many words of each document the mix takes.
+
+    ``prefix`` goes before the last four names; with one that no kept column begins with, columns may be called like anything.
+    """
     drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
-    named = [F.col(key), *map(F.col, keep), F.col(source).alias("_source")]
+    own = [F.col(f"`{c}`").alias(f"_keep{i}") for i, c in enumerate(keep)]
+    named = [F.col(f"`{key}`").alias("_id"), *own, F.col(f"`{source}`").alias("_source")]
     sized = settle(df.select(*named, words(text_of(text)).alias("size"), drawn.alias("_draw")), "sizes")
-    sized = sized.withColumn("_key", F.when(F.col("_source").isNull(), "n").otherwise(F.concat(F.lit("s"), "_source"))).withColumn("_bucket", F.substring("_draw", 1, 3))
+    sized = sized.withColumn("_key", F.when(F.col("_source").isNull(), "n").otherwise(F.concat(F.lit("s"), "_source"))).withColumn("_bucket", F.substring("_draw", 1, BUCKET_DIGITS))
     buckets = sized.groupBy("_key", "_source", "_bucket").agg(F.sum("size").alias("_sum"))
     aims = targets(buckets.groupBy("_source").agg(F.sum("_sum").alias("source_size")), weights, max_epochs)
     aims = aims.withColumn("_key", F.when(F.col("_source").isNull(), "n").otherwise(F.concat(F.lit("s"), "_source"))).drop("_source")
     before = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     plan = buckets.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0))).join(aims, "_key").drop("_source", "_sum")
-    within = Window.partitionBy("_key", "_bucket").orderBy("_draw", F.col(key).asc_nulls_last(), "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("_key", "_bucket").orderBy("_draw", F.col("_id").asc_nulls_last(), "size").rowsBetween(Window.unboundedPreceding, -1)
     ahead = F.coalesce(F.sum("size").over(within), F.lit(0))
     joined = sized.withColumn("_ahead", ahead).join(plan, ["_key", "_bucket"])
     whole = F.expr("coalesce(_words div nullif(source_size, 0), 0)")
     part = F.expr("coalesce(_words % nullif(source_size, 0), 0)") - F.col("_before") - F.col("_ahead")
     taken = whole * F.col("size") + F.least(F.col("size"), F.greatest(part, F.lit(0)))
-    return joined.select(key, *keep, F.col("_source").alias(source), "size", "source_size", "target", taken.cast("long").alias("taken"))
+    found = {"size": F.col("size"), "source_size": F.col("source_size"), "target": F.col("target"), "taken": taken.cast("long")}
+    kept = [F.col(f"_keep{i}").alias(c) for i, c in enumerate(keep)]
+    return joined.select(F.col("_id").alias(key), *kept, F.col("_source").alias(source), *[c.alias(prefix + n) for n, c in found.items()])
 
 
 def op7_mixing(spark, sf_dir: str) -> DataFrame:

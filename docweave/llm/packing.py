@@ -32,8 +32,9 @@ from docweave.llm.common import settle, text_of
 
 CAPACITY = 1024
 END = 2
-#: Parts in which the pieces of one length are ranked.
-SALTS = 256
+#: Pieces of one length that are ranked in one group, about, and the fewest groups of a length.
+GROUP = 200_000
+SALTS = 64
 #: Words whose ids a task remembers at most.
 REMEMBERED = 200_000
 
@@ -180,11 +181,12 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
 
 def pack(cut: DataFrame, capacity: int = CAPACITY, key: str = "doc_id") -> DataFrame:
     """Adds sequence_id and offset to a table of pieces (with length; see ``pieces``), which should be settled: it is read three times."""
-    salted = cut.withColumn("_salt", F.pmod(F.xxhash64(key, "piece", "ids_crc32"), F.lit(SALTS)).cast("int"))
+    counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most ``capacity`` rows
+    salts = max(SALTS, max(counts.values(), default=0) // GROUP)
+    salted = cut.withColumn("_salt", F.pmod(F.xxhash64(key, "piece", "ids_crc32"), F.lit(salts)).cast("int"))
     parts = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most ``capacity`` rows
     places = np.array(sorted(plan(counts, capacity)), np.int64).reshape(-1, 5)
     shared = cut.sparkSession.sparkContext.broadcast(places)
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.common import settle, text_of
+from docweave.llm.common import fresh, settle, text_of
 from docweave.llm.components import components
 
 SHINGLE = 4
@@ -60,13 +60,13 @@ def simhash(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-def fingerprints(df: DataFrame, text: str = "text", to: str = "fp") -> DataFrame:
-    """Adds the fingerprint as a (signed) long."""
+def fingerprints(df: DataFrame, text: str = "text", to: str = "fp", shingle: int = SHINGLE) -> DataFrame:
+    """Adds the fingerprint, of shingles of so many words, as a (signed) long."""
 
     @F.pandas_udf("long")
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in texts:
-            yield pd.Series(np.array([simhash(t) for t in s], np.uint64).view(np.int64))
+            yield pd.Series(np.array([simhash(t, shingle) for t in s], np.uint64).view(np.int64))
 
     return df.withColumn(to, of(text_of(text)))
 
@@ -243,9 +243,24 @@ def _compare_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(len(group))
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """One row of each group of near-duplicates: that of the smallest key, null last; of equal keys any one.
+
+    Rows of equal or null keys are rows like others here: each counts by itself. The columns stay as they are.
+    """
+    fp, row = fresh(df, "_fp"), fresh(df, "_row")
+    rows = settle(fingerprints(df, text, fp, shingle).withColumn(row, F.monotonically_increasing_id()), "rows")
+    marked = rows.select(F.col(f"`{fp}`").alias("fp"), F.struct(F.col(f"`{key}`").isNull().alias("open"), F.col(f"`{key}`").alias("key"), F.col(f"`{row}`").alias("row")).alias("own"))
+    distinct = settle(marked.groupBy("fp").agg(F.min("own").alias("first")), "distinct")
+    labels = components(links(distinct.select("fp"))).withColumnRenamed("node", "fp")
+    grouped = distinct.join(labels, "fp", "left").groupBy(F.coalesce("label", "fp").alias("label")).agg(F.min("first").alias("first"))
+    stay = settle(grouped.select(F.col("first.row").alias(row)), "stay")
+    return rows.join(stay, row, "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(key, fp, component_id): every row's fingerprint, and the smallest key of its group."""
-    marked = settle(fingerprints(df.select(F.col(key).alias("_key"), F.col(text).alias("_text")), "_text").select("_key", "fp"), "fingerprints")
+    marked = settle(fingerprints(df.select(F.col(key).alias("_key"), F.col(text).alias("_text")), "_text", shingle=shingle).select("_key", "fp"), "fingerprints")
     distinct = settle(marked.groupBy("fp").agg(F.min("_key").alias("least")), "distinct")
     labels = components(links(distinct.select("fp")))
     grouped = distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
