@@ -33,7 +33,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docweave.functions.find import let, replace_matches, running
+from docweave.functions.find import gaps, let, replace_matches, running
 from docweave.llm.common import settle, text_of
 
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -129,11 +129,11 @@ def _matches(text: Column, pattern: str, make: Callable[[Column, Column, Column,
     """``make(match, start, gap before it, gap behind it)`` for every match of a pattern that is never empty."""
 
     def of(found: Column) -> Column:
-        def cut(gaps: Column) -> Column:
-            steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, m: F.length(g) + F.length(m))
-            return let(running(steps), lambda sums: F.transform(found, lambda m, i: make(m, sums[i] + F.length(gaps[i]), gaps[i], gaps[i + 1])))
+        def cut(between: Column) -> Column:
+            steps = F.zip_with(F.slice(between, F.lit(1), F.size(found)), found, lambda g, m: F.length(g) + F.length(m))
+            return let(running(steps), lambda sums: F.transform(found, lambda m, i: make(m, sums[i] + F.length(between[i]), between[i], between[i + 1])))
 
-        return let(F.split(text, pattern, -1), cut)
+        return let(gaps(text, pattern), cut)
 
     return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), of)
 
