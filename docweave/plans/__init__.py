@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from docweave.plans import corpus, language, layout, rules
+from docweave.plans import corpus, language, layout, rules, storage
 
-MODULES = (corpus, language, rules, layout)
+MODULES = (corpus, language, rules, layout, storage)
 
 
 def queries() -> dict[str, Callable]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docweave.functions import text as tx
 from docweave.schema import SUBMISSIONS, require
 
 # The forms that are annual reports.
@@ -69,8 +70,8 @@ def string_array(column: Column) -> Column:
 
 
 def split_by_hash(df: DataFrame, key: str, test: float, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """(train, test): a row's place depends on its key alone."""
-    place = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)) < int(test * 1_000_000)
+    """(train, test): a row's place depends on its key alone; rows without a key are all in train."""
+    place = F.col(key).isNotNull() & (tx.decided(F.lit(seed), F.col(key)) < int(test * (1 << 32)))
     return df.where(~place), df.where(place)
 
 
@@ -79,9 +80,22 @@ def write_chunks(df: DataFrame, path: str, rows: int) -> None:
     df.write.mode("append").option("maxRecordsPerFile", rows).parquet(path)
 
 
-def merge_chunks(spark: SparkSession, path: str, to: str, drop: tuple[str, ...] = (), files: int = 1) -> None:
-    """Chunks as a few files, without columns kept for debugging."""
-    spark.read.parquet(path).drop(*drop).coalesce(files).write.mode("overwrite").parquet(to)
+def merge_chunks(spark: SparkSession, path: str, to: str, drop: tuple[str, ...] = (), rows: int = 1_000_000) -> None:
+    """Chunks as files of about so many rows, without columns kept for debugging. As many tasks write as there are files."""
+    found = spark.read.parquet(path).drop(*drop)
+    found.repartition(max(1, -(-found.count() // rows))).write.mode("overwrite").parquet(to)
+
+
+def export(path: str, **named: DataFrame) -> None:
+    """Several tables, each a folder of Parquet files under a path."""
+    for name, df in named.items():
+        replace_table(df, f"{path}/{name}")
+
+
+def write_labels(tags: DataFrame, path: str) -> None:
+    """A small vocabulary (one column, a row each) as one line of JSON, in order."""
+    column = F.col(tags.columns[0])
+    tags.agg(F.to_json(F.array_sort(F.collect_set(column))).alias("value")).write.mode("overwrite").text(path)
 
 
 def replace_table(df: DataFrame, path: str) -> None:
