@@ -99,6 +99,7 @@ WORKER_POOLS = {
     "trades": ("engineers", "drivers", "miners", "nurses", "teachers", "technicians", "mechanics", "electricians"),
     "ranks": ("managers", "supervisors", "executives", "directors", "officers"),
 }
+DEPARTMENTS = ("research", "research and development", "engineering", "sales", "marketing", "manufacturing", "production", "operations", "administration", "finance", "accounting", "customer service", "management", "distribution", "logistics", "legal", "human resources", "information technology")
 WORK_EVENTS = ("hired", "employed", "laid off", "terminated", "recruited", "dismissed", "furloughed", "eliminated", "added", "retained")
 SITES = ("store", "office", "facility", "facilities", "plant", "warehouse", "location", "branch", "branches", "restaurant", "hotel", "factory", "factories", "mine", "site", "country", "countries", "state", "city", "cities", "market", "region", "center", "centre", "hospital", "school")
 ENTITIES = ("company", "companies", "subsidiary", "subsidiaries", "customer", "supplier", "contract", "agreement", "lawsuit", "claim", "patent", "trademark", "vessel", "aircraft", "vehicle", "loan", "director", "segment", "unit", "product", "well", "project", "member", "collective bargaining agreement", "bargaining unit", "swap", "option contract", "futures contract", "note")

@@ -90,16 +90,18 @@ def decade(year: Column) -> Column:
 def stratify(df: DataFrame, stratum: Column, target: int, seed: int, *parts: str) -> DataFrame:
     """``target`` rows (or all): an equal quota per stratum, and the rest from what the larger strata have left, by digest.
 
-    No row is taken twice. The strata (few) are counted; only the counts are compared.
+    ``parts`` tell rows apart; no row is taken twice. Only two numbers come to the driver. A stratum's quota is cut off
+    before its shuffle, and what is left of it is found by comparing digests with that of the last row in the quota, so no
+    task ranks a whole stratum.
     """
     tagged = df.withColumn("_s", stratum).withColumn("_d", draw(seed, *parts))
-    strata = tagged.groupBy("_s").count().count()
-    quota = target // max(1, strata)
-    ranked = tagged.withColumn("_n", F.row_number().over(Window.partitionBy("_s").orderBy("_d")))
-    first = ranked.where(F.col("_n") <= quota)
-    short = target - sum(min(r["count"], quota) for r in tagged.groupBy("_s").count().collect())
-    more = ranked.where(F.col("_n") > quota).orderBy("_d").limit(max(0, short))
-    return first.unionByName(more).drop("_s", "_d", "_n")
+    counts = tagged.groupBy("_s").agg(F.count("*").alias("_n"))
+    quota = target // max(1, counts.count())
+    short = target - (counts.agg(F.sum(F.least("_n", F.lit(quota)))).first()[0] or 0)
+    first = tagged.withColumn("_n", F.row_number().over(Window.partitionBy("_s").orderBy("_d"))).where(F.col("_n") <= quota).drop("_n")
+    last = first.groupBy("_s").agg(F.max("_d").alias("_last")).withColumnRenamed("_s", "_of")
+    beyond = tagged.join(last, F.col("_s").eqNullSafe(F.col("_of")), "left").where(F.col("_last").isNull() | (F.col("_d") > F.col("_last"))).drop("_of", "_last")
+    return first.unionByName(beyond.orderBy("_d").limit(max(0, short))).drop("_s", "_d")
 
 
 def build(docs: DataFrame, key: str, group: str, seed: int = 42, per_document: int = 10, per_group: int = 100, keep: BlockFilter = BlockFilter()) -> DataFrame:

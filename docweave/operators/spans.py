@@ -158,6 +158,12 @@ _FEW = r"(?:[A-Za-z][\w'-]*\s+){0,3}"
 _WORKER = rf"{any_of(v.WORKERS)}s?"
 LABOR = rf"(?i)(?<![\w.,$]){NUMBER}\s+{_FEW}{_WORKER}\b|\b{_WORKER}\s+(?:of|total(?:ed|ing)?|number(?:ed|ing)?)\s+{NUMBER}"
 LABOR_EVENT = rf"(?i)\b{any_of(v.WORK_EVENTS)}\s+(?:approximately\s+|about\s+|over\s+)?{NUMBER}(?![\w%])"
+_ABOUT = r"(?:approximately\s+|about\s+|over\s+|nearly\s+|roughly\s+)?"
+#: Counts of people without a noun behind them: after a form of to be, of whom, in a department, in a place.
+LABOR_IS = rf"(?i)\b(?:{_WORKER}|head\s?count|workforce)\s+(?:is|are|was|were|stood\s+at|reached|totals?|totall?ed)\s+{_ABOUT}{NUMBER}(?![\w%])"
+LABOR_OF_WHOM = rf"(?i)\bof\s+(?:whom|these|those)\s*,?\s+{_ABOUT}{NUMBER}(?![\w%])"
+LABOR_IN_DEPARTMENT = rf"(?i)(?<![\w.,$]){NUMBER}\s+(?:are\s+|were\s+|work\s+)?in\s+(?:our\s+|the\s+)?{any_of(v.DEPARTMENTS)}\b"
+LABOR_IN_PLACE = rf"(?<![\w.,$]){NUMBER}\s+(?:are\s+|were\s+|work\s+)?(?:located\s+)?in\s+(?:the\s+)?{any_of([n[0] for n in v.NATIONS])}\b"
 SITE = rf"(?i)(?<![\w.,$]){NUMBER}\s+{_FEW}{any_of(v.SITES)}s?\b"
 ENTITY = rf"(?i)(?<![\w.,$]){NUMBER}\s+{_FEW}{any_of(v.ENTITIES)}s?\b"
 SHARE = rf"(?i)(?<![\w.,$]){NUMBER}\s+{_FEW}{any_of(v.SHARES)}s?\b(?:\s+of\s+(?:common|preferred|ordinary|class\s+\w)\s+(?:stock|shares?))?"
@@ -199,6 +205,11 @@ def _no_bare_year(text: Column, span: Column) -> Column:
     return ~year_like(span) | before.rlike(_COUNTED) | before.rlike(_COUNTING) | span["text"].rlike(_COUNTS)
 
 
+def _of_workers(text: Column, span: Column) -> Column:
+    """What is around a number speaks of people at work; in the text as it came, as what is claimed already is hidden by now."""
+    return around(F.col("_plain"), span, 200, 60).rlike(rf"(?i)\b(?:{_WORKER}|head\s?count|workforce)s?\b")
+
+
 def _not_before_workers(text: Column, span: Column) -> Column:
     return ~after(text, span, 32).rlike(rf"(?i)^\s+{_WORKER}\b")
 
@@ -237,7 +248,14 @@ def extractors(most_employees: int | None = None, firms: list[str] | None = None
         Extractor("dates", [Rule("TIME", DATE), Rule("TIME", CLOCK)]),
         Extractor("address", [Rule("ADDRESS", STREET), Rule("ADDRESS", r"\d{5}(?:-\d{4})?", _is_state, bracketed=True), Rule("ADDRESS", _PHONE)]),
         Extractor("time", [Rule("TIME", PERIOD), Rule("TIME", MONTH_DAY), Rule("TIME", DURATION), Rule("TIME", _YEAR, bracketed=True)]),
-        Extractor("labor_event", [Rule(labor, LABOR_EVENT, lambda t, s: in_clause(t, s, rf"(?i)\b(?:{_WORKER}|workforce|job|position)s?\b") | (value(s) >= 1000))]),
+        Extractor(
+            "labor_event",
+            [
+                Rule(labor, LABOR_EVENT, lambda t, s: in_clause(t, s, rf"(?i)\b(?:{_WORKER}|workforce|job|position)s?\b") | (value(s) >= 1000)),
+                Rule(labor, LABOR_IS, _no_bare_year),
+                *[Rule(labor, p, _both(_no_bare_year, _of_workers)) for p in (LABOR_OF_WHOM, LABOR_IN_DEPARTMENT, LABOR_IN_PLACE)],
+            ],
+        ),
     ]
 
 

@@ -127,12 +127,12 @@ def streamed_keys(spark, sf_dir):
 
 
 @query(
-    """select o_orderkey, case o_orderkey % 3 when 0 then '3M paid 2000000 to 7-Eleven' when 1 then 'Paid ' || cast(o_custkey as varchar) || '000000 to Forever 21' else 'nothing of 5%' end as out,
+    """select o_orderkey, case o_orderkey % 3 when 0 then '3M paid 2000000 to 7-Eleven' when 1 then 'Paid ' || cast(o_custkey % 90 + 1 as varchar) || '000000 to Forever 21' else 'nothing of 5%' end as out,
     case o_orderkey % 4 when 0 then 'the Company, and Acme Foods' when 1 then 'Sold by the Company.' when 2 then 'A+B is not AB' else 'none' end as replaced from orders"""
 )
 def firm_names(spark, sf_dir):
     """Names with numbers hidden while numbers are normalised, and a row's own firm as a token: NUM10, NUM11."""
-    t = cycle(3, "3M paid two million to 7-Eleven", said("Paid ", customer(), " million to Forever 21"), "nothing of five percent")
+    t = cycle(3, "3M paid two million to 7-Eleven", said("Paid ", customer() % 90 + 1, " million to Forever 21"), "nothing of five percent")
     text = cycle(4, "The Acme Steel Corp., and Acme Foods", "Sold by ACME  STEEL Inc.", "A+B is not AB", "none")
     name = cycle(4, "Acme Steel Corp.", "Acme Steel, Inc.", "A.B Co", "")
     return orders(spark, sf_dir).select("o_orderkey", firms.normalized(t, ("3M", "7-Eleven", "Forever 21")).alias("out"), firms.replaced(text, name).alias("replaced"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 MANIFEST = "cik bigint, year int, url string, accession string, original_url string"
 NAMES = "cik bigint, name string"
@@ -21,6 +22,24 @@ NER = (
 LABELS = ("LABOR", "LOCATION_COUNT", "ENTITY_COUNT", "SHARE", "MONEY", "QUANTITY", "TIME", "PCT_CHANGE", "PCT_RATE", "PCT_OTHER", "REFERENCE", "ADDRESS", "NOISE", "PROPER_NUM")
 
 
+#: The tables of a new database.
+TABLES = {"manifest": MANIFEST, "names": NAMES, "results": RESULTS, "rejects": REJECTS, "corpus": CORPUS}
+
+
+def create(spark: SparkSession, path: str) -> list[str]:
+    """Makes the tables that a database's folder doesn't have yet, without rows, and names them; those it has stay as they are."""
+    made = []
+    for name, ddl in TABLES.items():
+        try:
+            spark.createDataFrame([], ddl).write.mode("error").parquet(f"{path}/{name}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+        else:
+            made.append(name)
+    return made
+
+
 def require(df: DataFrame, *columns: str) -> DataFrame:
     """``df``, or ValueError if it lacks a column."""
     missing = [c for c in columns if c not in df.columns]

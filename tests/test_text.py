@@ -76,3 +76,21 @@ def test_labels(found):
     assert any(label == "REFERENCE" for label, _ in found[11])
     assert [label for label, _ in found[12]] == ["PROPER_NUM", "PROPER_NUM"]
     assert any(label == "PCT_RATE" for label, _ in found[13]) and any(label == "PCT_OTHER" for label, _ in found[14])
+
+
+def test_new_database(spark, tmp_path):
+    from docweave import schema
+
+    assert sorted(schema.create(spark, str(tmp_path))) == sorted(schema.TABLES)
+    spark.createDataFrame([(1, "Acme")], schema.NAMES).write.mode("append").parquet(f"{tmp_path}/names")
+    assert schema.create(spark, str(tmp_path)) == []
+    assert spark.read.parquet(f"{tmp_path}/names").count() == 1
+
+
+def test_strata_smaller_than_their_quota(spark):
+    from docweave.operators import corpus
+
+    df = spark.range(100).selectExpr("id", "case when id < 3 then null when id < 10 then 'a' else 'b' end as s")
+    got = corpus.stratify(df, F.col("s"), 60, 1, "id").groupBy("s").count().collect()
+    assert {r["s"]: r["count"] for r in got} == {None: 3, "a": 7, "b": 50}
+    assert corpus.stratify(df, F.col("s"), 500, 1, "id").count() == 100 and corpus.stratify(df.limit(0), F.col("s"), 5, 1, "id").count() == 0
