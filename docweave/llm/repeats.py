@@ -20,8 +20,9 @@ with many identities within a batch is dealt by identity instead, after a marker
 spared that way only saves work; every repeat is decided by identities of 128 bits (q-gram and content).
 
 Order: a document with a smaller key is earlier; with ``same_document`` also an earlier start in the same row. Rows of
-equal keys are no earlier than each other. A null key is larger than any other. Rows of equal key and text count as one
-in the search, and what it finds holds for each of them.
+equal keys are no earlier than each other. A null key is larger than any other (it counts as the largest long). Rows are
+told apart by key and a 64-bit hash of the text, so any share of them may have no key. Rows of equal key and text count as
+one in the search, and what it finds holds for each of them.
 """
 
 from __future__ import annotations
@@ -43,8 +44,8 @@ BLOCK = 1 << 20
 MANY = 8
 BASE = np.uint64(0x9E3779B97F4A7C13)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-RUNS = "gram long, same long, key long, mark int, start int, many int, lead int, route int"
-FOUND = "key long, mark int, start int, many int, gram long, lead int"
+RUNS = "gram long, same long, key long, mark long, start int, many int, lead int, route int"
+FOUND = "key long, mark long, start int, many int, gram long, lead int"
 
 
 @dataclass(frozen=True)
@@ -325,7 +326,7 @@ def earlier_repeats(df: DataFrame, w: Windows, key: str, text: str) -> DataFrame
     ``spans`` is an array of (start, many): ``many`` successive windows from ``start`` on; null where there are none.
     """
     value = text_of(text)
-    rows = df.select(F.col(key).cast("long").alias("_key"), F.crc32(F.encode(value, "UTF-8")).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("_mark"), value.alias("_text"))
+    rows = df.select(F.col(key).cast("long").alias("_key"), F.xxhash64(value).alias("_mark"), value.alias("_text"))
     cut = rows.mapInArrow(_cut(w), RUNS)
     found = settle(_sorted(cut).mapInArrow(_refine(w, True), FOUND), "runs")
     repeats = found.where("gram is null").select("key", "mark", "start", "many")
