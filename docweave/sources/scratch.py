@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: list[str] = []
 
@@ -21,3 +21,11 @@ def folder(spark: SparkSession, name: str) -> str:
             _LOCAL.append(tempfile.mkdtemp(prefix="docweave-tables-"))
         root = _LOCAL[0]
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once and read back: what reads it several times doesn't compute it again, and a lost executor costs a re-read."""
+    spark = df.sparkSession
+    path = folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
