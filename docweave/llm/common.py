@@ -6,6 +6,8 @@ import atexit
 import tempfile
 import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,8 @@ _OWN: dict[str, str] = {}
 #: How many tables are being written, and what the setting was before the first of them.
 _WRITING = {"now": 0, "before": "false"}
 _LOCK = threading.Lock()
+#: The tables that were written, in order.
+_TABLES: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -70,9 +74,20 @@ def settle(df: DataFrame, name: str) -> DataFrame:
             _WRITING["now"] -= 1
             if not _WRITING["now"]:
                 spark.conf.set(CLEANUP, _WRITING["before"])
+    _TABLES.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def only_last(spark: SparkSession) -> Iterator[None]:
+    """Of the tables that are settled inside, all but the last go at the end: for a step whose result is the last one."""
+    before = len(_TABLES)
+    yield
+    for path in _TABLES[before:-1]:
+        _remove(spark, path)
+    del _TABLES[before:-1]
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A name like ``name`` that no column of ``df`` has, whatever its case."""
     taken = {c.lower() for c in df.columns}
