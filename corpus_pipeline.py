@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweave.llm import langid, mixing, packing, pii, simhash
-from docweave.llm.common import fresh, settle
+from docweave.llm.common import fresh, only_last, settle
 
 #: Words of a shingle in the near-duplicate stage.
 SHINGLE = 5
@@ -79,10 +79,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
+    """All stages over ``documents``, each written and read again; what a stage wrote on its way goes once its result is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for number, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if number < len(STAGES) - 1:
-            docs = settle(docs, name)
-    return docs
+    for name, stage in STAGES[:-1]:
+        with only_last(spark):
+            docs = settle(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
