@@ -8,8 +8,8 @@
    documents in a seeded order, and of the last one only as many words as are still missing. So each source comes within
    one word of its target, and no document is taken more than ``max_epochs`` times.
 
-The seeded order is that of md5(seed, key). Running totals go by bucket (the first four hex digits) and then within a
-bucket, so a source that holds most of the rows is spread over 65,536 groups: a third of ten billion documents is 50,000 a group. All sums are of whole numbers: reruns and
+The seeded order is that of md5(seed, key). Running totals go by bucket (the first three hex digits) and then within a
+bucket, so a source that holds most of the rows is spread over 4096 groups: a third of ten billion documents is 800,000 a group. All sums are of whole numbers: reruns and
 other partitionings agree.
 
 Null and empty texts have size 0 and are taken 0 times. The null source is a source like any other and comes last in
@@ -27,7 +27,7 @@ WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = "mix-1"
 #: Hex digits of the draw that make a bucket of a source.
-BUCKET_DIGITS = 4
+BUCKET_DIGITS = 3
 
 
 def words(text: Column) -> Column:

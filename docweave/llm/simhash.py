@@ -248,14 +248,16 @@ def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", shingle:
 
     Rows of equal or null keys are rows like others here: each counts by itself. The columns stay as they are.
     """
-    fp, row = fresh(df, "_fp"), fresh(df, "_row")
-    rows = settle(fingerprints(df, text, fp, shingle).withColumn(row, F.monotonically_increasing_id()), "rows")
-    marked = rows.select(F.col(f"`{fp}`").alias("fp"), F.struct(F.col(f"`{key}`").isNull().alias("open"), F.col(f"`{key}`").alias("key"), F.col(f"`{row}`").alias("row")).alias("own"))
+    at = fresh(df, "_at")  # key and text, by 128 bits
+    told = F.md5(F.concat(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("-")), F.lit(":"), F.md5(text_of(F.col(f"`{text}`")))))
+    rows = df.withColumn(at, told)
+    own = F.struct(F.col(f"`{key}`").isNull().alias("open"), F.col(f"`{key}`").alias("key"), F.col(at).alias("at"))
+    marked = settle(fingerprints(rows.select(F.col(f"`{text}`").alias("_text"), own.alias("own")), "_text", shingle=shingle).select("fp", "own"), "fingerprints")
     distinct = settle(marked.groupBy("fp").agg(F.min("own").alias("first")), "distinct")
     labels = components(links(distinct.select("fp"))).withColumnRenamed("node", "fp")
     grouped = distinct.join(labels, "fp", "left").groupBy(F.coalesce("label", "fp").alias("label")).agg(F.min("first").alias("first"))
-    stay = settle(grouped.select(F.col("first.row").alias(row)), "stay")
-    return rows.join(stay, row, "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
+    stay = settle(grouped.select(F.col("first.at").alias(at)), "stay")
+    return rows.dropDuplicates([at]).join(stay, at, "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
