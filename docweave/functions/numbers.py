@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 
 from docweave.functions import vocabulary as v
 from docweave.functions.find import gaps, let, replace_matches
-from docweave.functions.patterns import any_of
+from docweave.functions.patterns import FIGURE, UNTIL, any_of
 from docweave.functions.text import stable_hash, tidy
 
 _SCALE = "|".join(v.SCALES)
 _SYMBOLS = any_of([s for c in v.CURRENCIES for s in c[1] if not s[-1].isalpha()])
 _WORD = f"(?:{'|'.join([*v.ONES, *v.TENS])})"
 _NUMERAL = f"(?:{'|'.join([*v.ONES, *v.TENS, *v.SCALES, 'point'])})"
-#: A number before a percent sign: signed or in brackets, or a bare fraction.
-_PCT_NUMBER = r"-?(?:\.\d+|\(\d+(?:\.\d+)?\)|\d+(?:\.\d+)?)"
+# Percent in words.
+_PERCENT = ("percent", "per cent", "per-cent")
 
 
 def _values(words: dict[str, float]) -> Column:
@@ -126,9 +126,9 @@ def said_twice(text: Column) -> Column:
 
 def percents(text: Column) -> Column:
     """per cent as %, no space before %, and ranges as a% to b%."""
-    out = F.regexp_replace(text, r"(?i)\bper[- ]?cent\b", "%")
-    out = F.regexp_replace(out, rf"(?i)(?<!\w)({_PCT_NUMBER})\s*%?\s*(?:-|–|—|to)\s*({_PCT_NUMBER})\s*%", "$1% to $2%")
-    return F.regexp_replace(out, rf"({_PCT_NUMBER})\s+%", "$1%")
+    signs = F.regexp_replace(text, rf"(?i)\b{any_of(_PERCENT)}\b", "%")
+    close = F.regexp_replace(signs, r"(?<=[\d)])\s+%", "%")
+    return F.regexp_replace(close, rf"(?i)(?<![\w.])({FIGURE})%?\s*{UNTIL}\s*(?={FIGURE}%)", "$1% to ")
 
 
 def normalized(text: Column) -> Column:

@@ -34,3 +34,8 @@ def guarded(pattern: str, not_before: str = r"\w", not_after: str = r"\w") -> st
 NUMBER = r"(?:\d{1,3}(?:,\d{3})+(?:\.\d+)?|\d+(?:\.\d+)?|\.\d+)"
 RANGE = r"(?:\s*(?:-|–|—|to|and|through)\s*" + NUMBER + ")?"
 SCALE = r"(?:hundred|thousand|million|billion|trillion|dozen)"
+#: A plain number with a sign or brackets of its own.
+_UNSIGNED = r"(?:\d+(?:\.\d+)?|\.\d+)"
+FIGURE = rf"(?:\({_UNSIGNED}\)|-?{_UNSIGNED})"
+#: What stands between the two ends of a range.
+UNTIL = any_of(("-", "–", "—", "to"))

@@ -87,20 +87,48 @@ def tidy(text: Column) -> Column:
     return F.regexp_replace(apart, rf"\s+(?='(?i:{any_of(CONTRACTED)})\b)", "")
 
 
-#: An address of a page: with a scheme or www up to white space, quotes, brackets or closing marks, or a bare host name with its path.
-_PATH = r"""(?:[^\s<>"'()]*[^\s<>"'().,;:!?])"""
-URL = rf"(?i)(?:https?://|www\.){_PATH}|(?:[a-z0-9-]+\.){any_of(HOST_ENDINGS)}\b(?:/{_PATH}?)?"
-#: What clutters a paragraph taken from a page, and how a list's number looks at its start.
-_SMALL = r"\d{1,3}"
-_FRAME = "[-–—|*•_#]"
-CLUTTER = {
-    "page tag, with the page number beside it": rf"(?i)(?:\b{_SMALL}\s*)?<PAGE>(?:\s*{_SMALL}\b)?",
-    "framed page number": rf"(?<!\d){_FRAME}++\s*{_SMALL}\s*{_FRAME}++(?!\d)",
-    "address": URL,
-    "bullets": r"^(?:\s*[|*•_#])+\s*",
-    "leader dots and the page they lead to": rf"(?:[._]\s*){{4,}}{_SMALL}\b(?!,)",
-}
-LISTED = (r"^\s*\d+(?:\s*[.)\]:–—-])+\s+", rf"^\s*{_SMALL}\.{_SMALL}\s+(?=[A-Z])")
+#: A host is labels and an ending that hosts have; an address is one with its path, or what a scheme or ``www.`` begins. No
+#: punctuation ends it, as that is the sentence's.
+HOST = rf"\b(?:[a-z0-9-]+\.)+{any_of(HOST_ENDINGS)}\b"
+ADDRESS = rf"(?i)(?:\bhttps?:\S+|\bwww\.\S+|{HOST}(?:/\S*)?)(?<![\p{{Punct}}&&[^/]])"
+# What frames a page's number or begins a bulleted line.
+BULLETS = "|*•_#"
+FRAMES = "-–—" + BULLETS
+_PAGE_DIGITS = 3
+
+
+def _short(number: Column) -> Column:
+    return F.length(number) <= _PAGE_DIGITS
+
+
+def without_page_tags(text: Column) -> Column:
+    """Page tags go, and a page's number (a whole number of three digits at most) beside one with them."""
+
+    def left(m: Column) -> Column:
+        numbers = F.filter(F.split(m, r"(?i)\s*<page>\s*"), lambda n: (n != "") & ~_short(n))
+        return F.array_join(numbers, " ")
+
+    return replace_matches(text, r"(?i)(?:(?<![\w.,])\d+\s*)?<page>(?:\s*\d+(?![\w.,]))?", left)
+
+
+def without_framed_numbers(text: Column) -> Column:
+    """Page numbers between two runs of dashes, bars, bullets or underscores go with their frame."""
+    frame = f"[{FRAMES}]"
+    return replace_matches(text, rf"{frame}+\s*\d+\s*{frame}+(?!\d)", lambda m: F.when(_short(F.regexp_extract(m, r"\d+", 0)), "").otherwise(m))
+
+
+def without_leaders(text: Column) -> Column:
+    """Four leader dots or more (dots or underscores, spaced or not) go with the page number behind them."""
+
+    def left(m: Column) -> Column:
+        drawn = F.length(F.translate(m, "0123456789 \t\n\r", ""))
+        return F.when((drawn >= 4) & _short(F.regexp_extract(m, r"\d+", 0)), "").otherwise(m)
+
+    return replace_matches(text, r"[._][._\s]*\d+\b(?!,)", left)
+
+
+#: How a list's number looks at a text's start: digits closed by a mark, or a section's dotted numbers before a capital.
+LISTED = (r"^\d++[\s.)\]:–—-]*[.)\]:–—-]\s++", r"^\d{1,3}+(?:\.\d{1,3}+)+\s++(?=\p{Lu})")
 
 
 def clean_document_text(text: Column, starts_with_money: Column | None = None, company: str = "the Company") -> Column:
@@ -108,9 +136,9 @@ def clean_document_text(text: Column, starts_with_money: Column | None = None, c
 
     List numbers stay where ``starts_with_money`` holds, so an amount at the start survives.
     """
-    out = strip(text)
-    for pattern in CLUTTER.values():
-        out = strip(F.regexp_replace(out, pattern, ""))
+    out = without_framed_numbers(without_page_tags(strip(text)))
+    out = F.ltrim(F.regexp_replace(out, ADDRESS, ""), F.lit(f"{BULLETS} \t\r\n"))
+    out = strip(without_leaders(out))
     unlisted = rewritten(out, [(p, "") for p in LISTED])
     out = unlisted if starts_with_money is None else F.when(starts_with_money, out).otherwise(unlisted)
     return tidy(F.regexp_replace(out, r"\b[Uu]s\b", company))
@@ -133,7 +161,7 @@ def without_markup_noise(text: Column) -> Column:
     out = F.regexp_replace(text, r"(?i)</?PAGE>", "")
     out = F.regexp_replace(out, r"(?m)^\s*-\s*\d{1,3}\s*-\s*$", "")
     out = F.regexp_replace(out, r"(?im)^<(?:TYPE|SEQUENCE|FILENAME|DESCRIPTION|TEXT)>.*$", "")
-    return F.regexp_replace(out, URL, "")
+    return F.regexp_replace(out, ADDRESS, "")
 
 
 def paragraphs(text: Column) -> Column:
@@ -171,8 +199,13 @@ def sentences(text: Column) -> Column:
     return let(F.filter(find_all(text, _MAY_END), ends), cut)
 
 
-#: What parts a sentence into clauses.
-CLAUSE_END = r"(?i)(?<!\d)[:;](?!\d)|\b(?:while|although|whereas|but|however|except|aside|apart|yet|compar(?:ed?|ing|ison)|exclud(?:ing|es?)|other\s+than)\b|,(?!\s+or)"
+# Words that part a sentence into clauses.
+CLAUSE_WORDS = (
+    "while", "although", "whereas", "but", "however", "except", "aside", "apart", "yet",
+    "compare", "compared", "comparing", "comparison", "exclude", "excludes", "excluding", "other than",
+)
+#: So do commas, but not before "or", and colons and semicolons, but not inside a number or a time.
+CLAUSE_END = rf"(?i)\b{any_of(CLAUSE_WORDS)}\b|,(?!\s+or)|[:;](?!(?<=\d[:;])\d)"
 
 
 def clause(text: Column, start: Column, end: Column) -> Column:
