@@ -32,6 +32,8 @@ import struct
 import zlib
 from collections import deque
 from collections.abc import Callable, Iterator
+from functools import cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -50,12 +52,12 @@ INNER = 24
 STRIDE = 64
 #: Tokens that are cut at once, about.
 BLOCK = 1 << 20
-#: Words whose ids a task remembers at most (twice as many while a new lot fills), and how long they may be.
-REMEMBERED = 300_000
+#: Words whose ids a worker remembers at most (twice as many while a new lot fills), and how long they may be.
+REMEMBERED = 500_000
 LONG = 64
-LATIN = re.compile("[\x21-\x7e\xa1-\xff]*").fullmatch
-#: The vocabulary's own pattern for lower-case printable characters up to U+00FF, where a letter is a code point of its own.
-PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^a-zªµºß-öø-ÿ0-9²³¹¼-¾]+").findall
+#: Printable characters up to U+00FF and spaces, and the vocabulary's own pattern for them in lower case.
+LATIN = re.compile("[\\x20-\\x7e\\xa1-\\xff]*").fullmatch
+PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^ a-zªµºß-öø-ÿ0-9²³¹¼-¾]+").findall
 #: A byte-level vocabulary spells a byte as the character of that number where that can be printed, else by the next one above 255.
 _UNPRINTED = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
 SPELLED = {b: 256 + n for n, b in enumerate(_UNPRINTED)}
@@ -83,9 +85,9 @@ class Remembered(dict):
 class SentenceEncoder:
     """The token ids of a text and the places behind its sentences.
 
-    The vocabulary's pattern never joins across white space, which it drops, so words between spaces can be encoded one by
-    one and their ids remembered. A printable word of characters up to U+00FF is split by that pattern here, so its parts are
-    remembered too; any other word, and one that may hold a special token, goes through the tokenizer as it is.
+    A sentence of printable characters up to U+00FF, where each letter is one code point, is split by the vocabulary's pattern
+    here, and the ids of its parts are remembered. The pattern never joins across white space, which it drops, so any other
+    sentence, and one that may hold a special token, is cut at spaces, and its words go through the tokenizer as they are.
     """
 
     def __init__(self, tokenizer: str):
@@ -101,23 +103,24 @@ class SentenceEncoder:
         def spelled(part: str) -> bytes:
             return packed([t.id for t in model.tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(SPELLED))])
 
-        parts = Remembered(spelled)
+        self._parts = Remembered(spelled).__getitem__
+        self._words = Remembered(lambda word: packed(whole.encode(word, add_special_tokens=False).ids)).__getitem__
+        self._special = special
 
-        def encode(word: str) -> bytes:
-            if LATIN(word) and not ("|" in word and any(s in word for s in special)):
-                return b"".join(map(parts.__getitem__, PARTS(word.lower())))
-            return packed(whole.encode(word, add_special_tokens=False).ids)
-
-        self._words = Remembered(encode)
+    def _sentence(self, sentence: str) -> bytes:
+        if LATIN(sentence) and not ("|" in sentence and any(s in sentence for s in self._special)):
+            return b"".join(map(self._parts, PARTS(sentence.lower())))
+        return b"".join(map(self._words, sentence.split(" ")))
 
     def __call__(self, text: str) -> tuple[bytes, list[int]]:
-        parts, ends, at = [], [], 0
-        for sentence in text.replace(". ", ".\n").replace("! ", "!\n").replace("? ", "?\n").split("\n"):
-            ids = b"".join(map(self._words.__getitem__, sentence.split(" ")))
-            parts.append(ids)
-            at += len(ids) // 4
-            ends.append(at)
-        return b"".join(parts), ends
+        parts = [self._sentence(s) for s in text.replace(". ", ".\n").replace("! ", "!\n").replace("? ", "?\n").split("\n")]
+        return b"".join(parts), list(accumulate(len(p) // 4 for p in parts))
+
+
+@cache
+def encoder(tokenizer: str) -> SentenceEncoder:
+    """One for all tasks that a worker runs, so that what it remembers serves the next one."""
+    return SentenceEncoder(tokenizer)
 
 
 def offered(doc_ends: np.ndarray, sentence_ends: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
@@ -185,7 +188,7 @@ def pack_in_order(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str
     kind = dict(df.dtypes)[key]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, stop = SentenceEncoder(tokenizer), np.uint32(end).astype("<u4").tobytes()
+        encode, stop = encoder(tokenizer), np.uint32(end).astype("<u4").tobytes()
         context = TaskContext.get()
         number = (context.partitionId() if context else 0) << 36
         # what is open: documents as (key, ids, places behind sentences, ids of it that are out already)
