@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from docweave.plans import corpus, language, layout, rules, storage
+from docweave.plans import corpus, language, layout, places, rules, storage
 
-MODULES = (corpus, language, rules, layout, storage)
+MODULES = (corpus, language, rules, layout, storage, places)
 
 
 def queries() -> dict[str, Callable]:
