@@ -20,8 +20,8 @@ _OWN: dict[str, str] = {}
 #: How many tables are being written, and what the setting was before the first of them.
 _WRITING = {"now": 0, "before": "false"}
 _LOCK = threading.Lock()
-#: The tables that were written, in order.
-_TABLES: list[str] = []
+#: For each thread the tables that its open steps have written, in order; the innermost step is last.
+_STEPS = threading.local()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -74,18 +74,27 @@ def settle(df: DataFrame, name: str) -> DataFrame:
             _WRITING["now"] -= 1
             if not _WRITING["now"]:
                 spark.conf.set(CLEANUP, _WRITING["before"])
-    _TABLES.append(path)
+    if getattr(_STEPS, "open", None):
+        _STEPS.open[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def only_last(spark: SparkSession) -> Iterator[None]:
-    """Of the tables that are settled inside, all but the last go at the end: for a step whose result is the last one."""
-    before = len(_TABLES)
-    yield
-    for path in _TABLES[before:-1]:
-        _remove(spark, path)
-    del _TABLES[before:-1]
+    """Of the tables that this thread settles inside, all but the last go at the end, and the last too if the step fails: for a
+    step whose result is the last one. Steps may hold steps; other threads' tables are theirs."""
+    steps = _STEPS.__dict__.setdefault("open", [])
+    steps.append([])
+    kept = 0
+    try:
+        yield
+        kept = 1
+    finally:
+        tables = steps.pop()
+        for path in tables[: len(tables) - kept]:
+            _remove(spark, path)
+        if steps:
+            steps[-1].extend(tables[len(tables) - kept :])
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -10,7 +10,8 @@ sequence each, of which the first takes what is left over. Pieces are then packe
 Both steps work on the *number* of pieces of each length, at most ``capacity`` numbers: that histogram is all the
 driver sees, and the plan it makes from it (runs of equal bins) is bounded by the capacity, whatever the corpus holds.
 Spark then ranks the pieces within each length and looks each rank up in the plan. A length that very many pieces share
-is ranked in ``SALTS`` parts whose offsets come from their counts, so no task gets a whole length.
+is ranked in ``SALTS`` parts (by a stored number of each piece, so equal rows part too) whose offsets come from their counts, so
+no task gets a whole length.
 
 Null texts are empty: one piece with the end id. Rows with equal keys are packed like any others. An empty table gives
 no pieces.
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docweave.llm.common import settle, text_of
+from docweave.llm.common import fresh, settle, text_of
 
 CAPACITY = 1024
 END = 2
@@ -179,11 +180,16 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     return rows
 
 
-def pack(cut: DataFrame, capacity: int = CAPACITY, key: str = "doc_id") -> DataFrame:
-    """Adds sequence_id and offset to a table of pieces (with length; see ``pieces``), which should be settled: it is read three times."""
+def pack(cut: DataFrame, capacity: int = CAPACITY, key: str = "doc_id", row: str | None = None) -> DataFrame:
+    """Adds sequence_id and offset to a table of pieces (with length; see ``pieces``), which should be settled: it is read three times.
+
+    ``row`` names a column with a number of its own for every piece, which goes; without it, pieces of equal keys, numbers and
+    ids are dealt out together.
+    """
+    own = [row] if row else [key, "piece", "ids_crc32"]
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most ``capacity`` rows
     salts = max(SALTS, max(counts.values(), default=0) // GROUP)
-    salted = cut.withColumn("_salt", F.pmod(F.xxhash64(key, "piece", "ids_crc32"), F.lit(salts)).cast("int"))
+    salted = cut.withColumn("_salt", F.pmod(F.xxhash64(*own), F.lit(salts)).cast("int"))
     parts = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
@@ -199,10 +205,10 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, key: str = "doc_id") -> DataF
         nth = rank.to_numpy() - own[:, 1]
         return pd.DataFrame({"sequence_id": own[:, 2] + nth // own[:, 3], "offset": own[:, 4] + nth % own[:, 3] * own[:, 0]})
 
-    within = Window.partitionBy("length", "_salt").orderBy(key, "piece", "ids_crc32")
+    within = Window.partitionBy("length", "_salt").orderBy(*own)
     ranked = salted.withColumn("_row", F.row_number().over(within) - 1).join(parts, ["length", "_salt"])
     out = ranked.withColumn("_place", look_up("length", (F.col("_before") + F.col("_row")).cast("long")))
-    return out.select(*cut.columns, "_place.sequence_id", "_place.offset")
+    return out.select(*[c for c in cut.columns if c != row], "_place.sequence_id", "_place.offset")
 
 
 def public_vocabulary() -> tuple[str, str, str]:
@@ -214,7 +220,9 @@ def public_vocabulary() -> tuple[str, str, str]:
 
 def pack_documents(df: DataFrame, files: tuple[str, str, str] | None = None, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end: int = END, with_ids: bool = False) -> DataFrame:
     """Tokenise, cut and pack: one row per piece, with its sequence and its place there."""
-    return pack(settle(pieces(df, files or public_vocabulary(), key, text, capacity, end, with_ids), "pieces"), capacity, key)
+    cut = pieces(df, files or public_vocabulary(), key, text, capacity, end, with_ids)
+    row = fresh(cut, "_row")
+    return pack(settle(cut.withColumn(row, F.monotonically_increasing_id()), "pieces"), capacity, key, row)
 
 
 def op3_packing(spark, sf_dir: str) -> DataFrame:
