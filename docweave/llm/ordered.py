@@ -125,13 +125,13 @@ def encoder(tokenizer: str) -> SentenceEncoder:
 
 def offered(doc_ends: np.ndarray, sentence_ends: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
     """Places where a window may end, 0 first, and what an end there costs. The last document's end is the last place."""
-    total = int(doc_ends[-1])
+    total, stride = int(doc_ends[-1]), min(STRIDE, capacity)
     good = np.unique(np.concatenate([[0], doc_ends, sentence_ends]))
     gaps = np.diff(good)
-    wide = np.flatnonzero(gaps > STRIDE)
-    many = (gaps[wide] - 1) // STRIDE
+    wide = np.flatnonzero(gaps > stride)
+    many = (gaps[wide] - 1) // stride
     nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    inner = np.repeat(good[wide], many) + (nth + 1) * STRIDE
+    inner = np.repeat(good[wide], many) + (nth + 1) * stride
     places = np.unique(np.concatenate([good, inner, np.arange(max(total - capacity, 0), total)]))
     cost = np.full(len(places), INNER)
     cost[np.isin(places, sentence_ends, assume_unique=False)] = SENTENCE
