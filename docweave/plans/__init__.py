@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from docweave.plans import corpus, language, layout, places, rules, storage
+from docweave.plans import corpus, language, layout, places, rules, storage, streams
 
-MODULES = (corpus, language, rules, layout, storage, places)
+MODULES = (corpus, language, rules, layout, storage, places, streams)
 
 
 def queries() -> dict[str, Callable]:
