@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docweave.plans.corpus import table
-from docweave.sources import scratch
+from docweave.sources import landed, scratch
 from docweave.streaming import retries
 
 QUERIES, ORACLES = {}, {}
@@ -39,3 +39,27 @@ def retried_pages(spark, sf_dir):
     requests = said.where("kind = 'request'").groupBy("page_id").agg(F.count("*").alias("requests"))
     ends = said.where("kind <> 'request'").select("page_id", "kind", "address", "attempt", "reason", F.length("body").alias("n"))
     return ends.join(requests, "page_id")
+
+
+_STATUS = "case page_id % 7 when 1 then 404 when 2 then 429 when 3 then null when 4 then 503 when 5 then 403 else 200 end"
+
+
+@query(
+    f"""with p as (select url, html, page_id, {_STATUS} as status from pages where url is not null)
+    select url, status, case when status = 200 then coalesce(html, '') when status = 404 then '' end as text,
+    case when status = 200 then 'found' when status = 404 then 'missing' when status is null or status in (429, 503) then 'retry' else 'failed' end as outcome,
+    case when page_id % 2 = 0 then 'batch' else 'stream' end as read_by from p"""
+)
+def landed_responses(spark, sf_dir):
+    """Pages landed with the status they came with, half of them read by a stream in two runs: SRC8, SRC9."""
+    landed.register(spark)
+    p = table(spark, sf_dir, "pages").where("url is not null").select("page_id", "url", F.expr(_STATUS).alias("status"), F.col("html").alias("body"))
+    one, two, out, at = (scratch.folder(spark, n) for n in ("landed-one", "landed-two", "responses", "stream"))
+    land = lambda df, to: df.select("url", "status", "body").write.format("landed").mode("append").save(to)
+    land(p.where("page_id % 2 = 0").repartition(4), one)
+    for part in ("page_id % 4 = 1", "page_id % 4 = 3"):
+        land(p.where(part).repartition(2), two)
+        stream = spark.readStream.format("landed").load(two)
+        stream.writeStream.format("parquet").option("checkpointLocation", at).trigger(availableNow=True).start(out).awaitTermination()
+    batch = spark.read.format("landed").load(one).withColumn("read_by", F.lit("batch"))
+    return batch.unionByName(spark.read.schema(landed.SCHEMA).parquet(out).withColumn("read_by", F.lit("stream")))
