@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from docweave.plans.corpus import table
 from docweave.sources import landed, scratch
 from docweave.streaming import retries
+from docweave.streaming.keyed import Store
 
 QUERIES, ORACLES = {}, {}
 
@@ -63,3 +64,20 @@ def landed_responses(spark, sf_dir):
         stream.writeStream.format("parquet").option("checkpointLocation", at).trigger(availableNow=True).start(out).awaitTermination()
     batch = spark.read.format("landed").load(one).withColumn("read_by", F.lit("batch"))
     return batch.unionByName(spark.read.schema(landed.SCHEMA).parquet(out).withColumn("read_by", F.lit("stream")))
+
+
+@query(
+    """select o_orderkey, case when o_orderkey % 2 = 0 then 'second' when o_orderkey % 3 = 0 then 'third' else 'first' end as batch,
+    case when o_orderkey % 2 = 0 then o_totalprice + 1 when o_orderkey % 3 = 0 then -1.0 else o_totalprice end as price from orders"""
+)
+def compacted_store(spark, sf_dir):
+    """A keyed table after three batches, of which two were compacted and one came twice: SNK2, STR8."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"))
+    store = Store(spark, scratch.folder(spark, "keyed"), "o_orderkey", "o_orderkey bigint, batch string, price double", buckets=8)
+    store.append(o.withColumn("batch", F.lit("first")), 0)
+    store.append(o.where("o_orderkey % 2 = 0").select("o_orderkey", (F.col("price") + 1).alias("price"), F.lit("second").alias("batch")), 1)
+    store.compact()
+    third = o.where("o_orderkey % 6 = 3").select("o_orderkey", F.lit(-1.0).alias("price"), F.lit("third").alias("batch"))
+    store.append(third, 2)
+    store.append(third.withColumn("price", F.lit(0.0)), 2)
+    return store.current()

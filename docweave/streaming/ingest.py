@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from docweave.operators import documents as dc
+from docweave.streaming.keyed import Store
 
 
 def parsed(pages: DataFrame, key: str, raw: str) -> DataFrame:
@@ -35,6 +36,18 @@ def ingest(stream: DataFrame, key: str, raw: str, table: str, checkpoint: str, i
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
 
 
+def ingest_into(stream: DataFrame, key: str, raw: str, store: Store, checkpoint: str, interval: str | None = None, compact_every: int = 50) -> StreamingQuery:
+    """As ``ingest``, into a keyed store, which is compacted after so many batches: what readers merge stays bounded."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        store.append(parsed(batch, key, raw), number)
+        if len(store.version()["batches"]) >= compact_every:
+            store.compact()
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
+
+
 def current(spark: SparkSession, table: str, key: str) -> DataFrame:
     """The table's rows, the last batch's for each key."""
     last = Window.partitionBy(key).orderBy(F.col("batch").desc())
