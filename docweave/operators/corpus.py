@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from docweave.functions import text as tx
@@ -112,6 +112,20 @@ def build(docs: DataFrame, key: str, group: str, seed: int = 42, per_document: i
     return cap_per_group(unique, group, per_group, [key, "pos"])
 
 
+STEPS = ("good", "sampled", "unique", "kept")
+
+
+def build_observed(docs: DataFrame, key: str, group: str, path: str, seed: int = 42, per_document: int = 10, per_group: int = 100, keep: BlockFilter = BlockFilter()) -> dict[str, int]:
+    """Write the corpus of ``build`` to ``path`` and tell how many blocks each step left: counted while they pass, in the job that writes."""
+    seen = {name: Observation(name) for name in STEPS}
+    count = F.count(F.lit(1)).alias("n")
+    good = good_blocks(docs, keep=keep).observe(seen["good"], count)
+    sampled = sample_per_group(good, key, per_document, seed, "pos").observe(seen["sampled"], count)
+    unique = first_of_each(sampled, tx.dedupe_key(F.col("block")), [key, "pos"]).observe(seen["unique"], count)
+    cap_per_group(unique, group, per_group, [key, "pos"]).observe(seen["kept"], count).write.parquet(path)
+    return {name: o.get["n"] for name, o in seen.items()}
+
+
 def funnel(df: DataFrame, block: Column, **stages: Callable[[Column], Column]) -> DataFrame:
     """One row: how many blocks (of the array ``block``) meet each condition and all before it, and their share in percent, from one scan."""
     names = list(stages)

@@ -10,6 +10,7 @@ from docweave.functions import text as tx
 from docweave.operators import corpus as cp
 from docweave.operators import store
 from docweave.plans.sql import GOOD, KEY, SAMPLED
+from docweave.sources import scratch
 
 QUERIES, ORACLES = {}, {}
 
@@ -92,6 +93,18 @@ def corpus_funnel(spark, sf_dir):
     return cp.funnel(table(spark, sf_dir, "documents"), lines, long=lambda b: F.length(b) >= 50, alpha=lambda b: tx.alpha_ratio(b) >= 0.5, lower=lambda b: tx.upper_ratio(b) <= 0.6)
 
 
+@query(
+    f"""with {GOOD}, {SAMPLED},
+    firsts as (select * from (select *, row_number() over (partition by {KEY} order by doc_id, pos) as m from sampled) where m = 1),
+    capped as (select * from (select *, row_number() over (partition by source order by doc_id, pos) as k from firsts) where k <= 50 or source is null)
+    select 'good' as step, count(*) as n from good union all select 'sampled', count(*) from sampled union all select 'unique', count(*) from firsts union all select 'kept', count(*) from capped"""
+)
+def observed_funnel(spark, sf_dir):
+    """What each step of the corpus left, counted by the job that writes it: AGG12."""
+    counts = cp.build_observed(table(spark, sf_dir, "documents"), "doc_id", "source", scratch.folder(spark, "corpus"), 42, 3, 50)
+    return spark.createDataFrame(list(counts.items()), "step string, n long")
+
+
 @query("select cast(year(o_orderdate) // 10 * 10 as varchar) || 's' as decade, count(*) as n from orders group by 1")
 def decade_histogram(spark, sf_dir):
     return table(spark, sf_dir, "orders").groupBy(cp.decade(F.year("o_orderdate")).alias("decade")).agg(F.count("*").alias("n"))

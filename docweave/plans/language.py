@@ -131,6 +131,16 @@ def token_blocks(spark, sf_dir):
     return training.packed_blocks(e, "ids", F.col("user_id"), ["event_id"], 16).select("batch", "block", F.size("ids").alias("size"))
 
 
+@query(
+    """with t as (select event_id, unnest(range(0, event_id % 5 + 1))::int as id from events), p as (select id, event_id, row_number() over (order by event_id, id) - 1 as pos from t)
+    select pos // 16 as block, list(id order by pos) as ids from p group by block having count(*) = 16"""
+)
+def corpus_blocks(spark, sf_dir):
+    """The whole table's token ids as one sequence of blocks, with their contents: TRN1, TRN2."""
+    e = table(spark, sf_dir, "events").withColumn("ids", F.sequence(F.lit(0), (F.col("event_id") % 5).cast("int")))
+    return training.stream_blocks(e, "ids", ["event_id"], 16, bucket_rows=500)
+
+
 @query(
     """select event_type as label, count(*) filter (event_id % 2 = 0) / count(*) as "precision", 1.0::double as recall, 2 * count(*) filter (event_id % 2 = 0) / (count(*) + count(*) filter (event_id % 2 = 0)) as f1
     from events group by event_type"""

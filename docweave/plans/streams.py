@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docweave.plans.corpus import table
 from docweave.sources import landed, scratch
-from docweave.streaming import retries
+from docweave.streaming import retries, windows
 from docweave.streaming.keyed import Store
 
 QUERIES, ORACLES = {}, {}
@@ -81,3 +81,39 @@ def compacted_store(spark, sf_dir):
     store.append(third, 2)
     store.append(third.withColumn("price", F.lit(0.0)), 2)
     return store.current()
+
+
+_LATE = "user_id % 10 = 0 and ts < timestamp '2024-01-03'"
+
+
+@query(
+    """with days as (
+      select 'day' as kind, date_trunc('day', ts) as start, date_trunc('day', ts) + interval 1 day as "end", event_type as name, count(*) as n, sum(value) as total from events group by all),
+    pairs as (
+      select 'two days' as kind, d as start, d + interval 2 day as "end", event_type as name, count(*) as n, sum(value) as total
+      from (select *, unnest([date_trunc('day', ts), date_trunc('day', ts) - interval 1 day]) as d from events) group by all),
+    cut as (select *, sum(case when gap is null or gap > interval 8 hour then 1 else 0 end) over (partition by user_id order by ts) as s from (select *, ts - lag(ts) over (partition by user_id order by ts) as gap from events)),
+    sessions as (select 'session' as kind, min(ts) as start, max(ts) + interval 8 hour as "end", cast(user_id as varchar) as name, count(*) as n, sum(value) as total from cut group by user_id, s)
+    select kind, epoch_us(start) as start, epoch_us("end") as "end", name, n, round(total, 4) as total from (from days union all from pairs union all from sessions)"""
+)
+def event_windows(spark, sf_dir):
+    """Tumbling, sliding and session windows of a stream with a watermark, that gets late rows too."""
+    e = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").cast("string").alias("user_id"), "event_type", "value")
+    landed_at, half = scratch.folder(spark, "events"), F.lit("2024-01-15").cast("timestamp")
+    clock = e.limit(1).select("event_id", F.lit("2030-01-01").cast("timestamp").alias("ts"), F.lit(windows.CLOCK).alias("user_id"), F.lit(windows.CLOCK).alias("event_type"), F.lit(0.0).alias("value"))
+    # one file after the other: two halves, rows that come far too late, and one row that lets time pass
+    for part in (e.where(F.col("ts") < half), e.where(F.col("ts") >= half), e.where(_LATE), clock):
+        part.coalesce(1).write.mode("append").parquet(landed_at)
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(landed_at)
+    made = None
+    sums = (F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    for kind, window, name in (
+        ("day", windows.spans("ts", "1 day"), "event_type"), ("two days", windows.spans("ts", "2 days", "1 day"), "event_type"), ("session", windows.sessions("ts", "8 hours"), "user_id"),
+    ):
+        out, at = scratch.folder(spark, "windows"), scratch.folder(spark, "state")
+        counted = windows.aggregated(stream, "ts", window, name, "1 hour", *sums)
+        windows.finished(counted, out, at)
+        own = spark.read.schema(counted.schema).parquet(out).where(F.col("name") != windows.CLOCK)
+        own = own.select(F.lit(kind).alias("kind"), F.unix_micros("start").alias("start"), F.unix_micros("end").alias("end"), "name", "n", "total")
+        made = own if made is None else made.unionByName(own)
+    return made
