@@ -1,24 +1,26 @@
 """Main-text extraction from HTML by the maximum-scoring subsequence.
 
 A page is read as a sequence of words and tags. Every word scores by its context, every tag by its name, and one linear
-scan finds the contiguous stretch of the largest sum: the content region. The text is that of the region: the blocks it
-touches, whole, where a block's own words sum to more than zero, without the runs in them that stand in an element which
-is no content by its nature or its name and score below zero.
-
-Contexts. A word's context is the block it stands in (p, li, div, ...), whether in a link, and whether that block's own
-class, id or role is a name that adverts, notices, comments and the like go by; or that it stands in an element that is
-no content by its nature (nav, footer, form, ...; a header outside article, main and section), or in a container with
-such a name. A name is a hint only: it is a context that is scored like any other. It does not hold where it names a part
-that the element has or lacks (has-sidebar, no-comments) or the heading of a text (post-header), nor for a container that
-holds the page's body: a ``main``, the ``article`` of the most words, or over half of the words of that, or of a page
-without either. That, and the header, is all that ``article`` and ``main`` are used for in an extraction.
+scan finds the contiguous stretch of the largest sum: the content region. Where an ``article`` or ``main`` element and the
+stretch hold most of each other's words, the region is that whole element too, so that a list at its end is not cut off. The
+text is that of the region: the blocks it touches, whole, where a block's own words sum to more than zero. Words in an
+element that is no content by its nature (nav, form, what is not shown, ...) go by themselves, if they score below zero.
+
+Contexts. A word's context is the innermost of: an element that is no content by its nature (nav, footer, form, ...; a
+header outside article, main and section), by its name; a container whose class, id or role is a name of ``NAMES``, by that
+name; else the block it stands in (p, li, div, ...), whether in a link, and whether that block itself has such a name. All
+parts of a name must be in the list or say nothing by themselves (box, bar, links, ...), so ``sharing-economy`` is none. The list
+says no more than how likely such a context's words are content before any page is seen (``prior``); labelled pages decide. A
+name is no context of its own where it names a part that the element has or lacks (has-sidebar, no-comments) or a text's
+heading (post-header), nor for a container that holds the page's body: a ``main``, the ``article`` of the most words, or over
+half of the words of that, or of a page without either.
 
 Weights come from labelled pages: pages whose author marked the content with one ``article`` or ``main`` element. On a
 bounded sample of them (``fit_pages``, by a hash of the key) Spark counts how many words of each context, and how many
-tags of each name, stand inside and outside the marked element (what stands in a held hint or an element that is no
-content counts as outside). A word's weight is 2 P - 1, with P the share inside, and a tag's is minus ``TAG_LOW`` to minus
-``TAG_HIGH`` by its share outside; both start from a prior worth ``PRIOR`` words. ``article`` and ``main`` themselves are
-tags without a weight of their own. Without labelled pages the priors hold.
+tags of each name, stand inside and outside the marked element, whatever the context. A word's weight is 2 P - 1, with P the
+share inside, and a tag's is minus ``TAG_LOW`` to minus ``TAG_HIGH`` by its share outside; both start from a prior worth
+``PRIOR`` words. ``article`` and ``main`` themselves are tags without a weight of their own. Without labelled pages the
+priors hold.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by two newlines. Null,
 empty and text-less pages give ''. Pages are read whole in linear time: every element is opened and closed once, and
@@ -47,20 +49,22 @@ _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*+(?:=\s*+("[^"]*+"?|'[^']*+'?|[^\s"'>]++))?""")
 _RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp", "noframes"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-_INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "ruby", "rt", "rp"}
+_INLINE = {"a", "button", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "ruby", "rt", "rp"}
 #: Elements that are no content by their nature.
-_ASIDE = {"nav", "footer", "aside", "form", "button", "select", "option", "dialog", "menu", "svg", "canvas", "object", "audio", "video", "head", "fieldset"}
+_ASIDE = {"nav", "footer", "aside", "form", "select", "option", "dialog", "menu", "svg", "canvas", "object", "audio", "video", "head", "fieldset"}
 _SCOPES = ("article", "main", "section")
 #: Blocks that hold sentences, other blocks that words may stand in, and blocks that leave their words to the block around them.
 _SENTENCES = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "figcaption", "dd"}
 _BLOCKS = _SENTENCES | {"li", "dt", "td", "th", "div", "section", "caption", "address", "details", "summary", "center"}
 _CLEAR = {"html", "body", "article", "main", "ul", "ol", "dl", "table", "thead", "tbody", "tfoot", "tr", "header", "hgroup", "figure"}
-_NAMES = frozenset(
+# Names that adverts, notices, comments and the like go by, and parts of names that say nothing by themselves.
+NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay "
     "menu nav navbar navigation breadcrumb breadcrumbs sidebar aside widget widgets footer header masthead comment comments disqus reply replies respond "
     "share sharing social related recommended recommendations newsletter subscribe subscription signup login search pagination pager skip copyright legal toolbar "
     "complementary contentinfo hidden".split()
 )
+_PLAIN = frozenset("area bar bottom box block body button buttons col column container content group inner item items left link links list main middle outer pane panel post posts right row section site tools top wrap wrapper".split())
 _BLOCK_ENDS_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
 #: Elements that a paragraph around them stays open behind.
 _P_SCOPES = {"table", "td", "th", "caption", "button", "object", "template"}
@@ -75,26 +79,28 @@ HINT = "hint"
 Steps = list[tuple[str, int]]
 
 
-def _named(value: str, inner: bool) -> bool:
-    """Whether one of the names in a class, id or role is one that what is no content goes by."""
+def _named(value: str, inner: bool) -> str | None:
+    """Of a class, id or role the first part that is a name of what is no content; none where the rest says something else."""
     for name in value.lower().strip("\"'").split():
-        parts = frozenset(re.split(r"[^a-z0-9]+", name))
-        if (parts & _NAMES) - (_HEADINGS if inner or parts & _TEXTS else set()) and not parts & _FEATURES:
-            return True
-    return False
+        parts = [p for p in re.split(r"[^a-z]+", name) if p]
+        known = [p for p in parts if p in NAMES and not (p in _HEADINGS and (inner or _TEXTS.intersection(parts)))]
+        if known and all(p in NAMES or p in _PLAIN for p in parts):
+            return known[0]
+    return None
 
 
-def _nature(tag: str, attributes: str, inner: bool) -> tuple[bool, bool]:
-    """Whether an element is no content by its nature (or not shown), and whether its names hint so."""
+def _nature(tag: str, attributes: str, inner: bool) -> tuple[bool, str | None]:
+    """Whether an element is no content by its nature (or not shown), and the name that hints so."""
     if tag in _ASIDE or (tag == "header" and not inner):
-        return True, False
-    named = False
+        return True, None
+    named = None
     if attributes and tag not in ("html", "body", "article", "main"):
         for name, value in _ATTRIBUTE.findall(attributes):
             name = name.lower()
             if name == "hidden" or (name == "aria-hidden" and "true" in value) or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
-                return True, False
-            named = named or (name in ("class", "id", "role") and _named(value, inner))
+                return True, None
+            if name in ("class", "id", "role"):
+                named = named or _named(value, inner)
     return False, named
 
 
@@ -104,11 +110,11 @@ def is_tag(kind: str) -> bool:
 
 def is_beside(kind: str) -> bool:
     """Whether a context is that of an element which is no content by nature or name."""
-    return kind == HINT or kind.startswith("aside")
+    return kind.startswith((HINT, "aside"))
 
 
-def _held(steps: Steps, hints: list[tuple[int, int]], regions: dict[str, list[list[int]]]) -> list[tuple[int, int]]:
-    """Of the containers with a hint, as (first step, last step + 1): those for which it holds, as the page's body isn't in them."""
+def _held(steps: Steps, hints: list[tuple[int, int, str]], regions: dict[str, list[list[int]]]) -> list[tuple[int, int, str]]:
+    """Of the containers with a hint, as (first step, last step + 1, name): those for which it holds, as the page's body isn't in them."""
     if not hints:
         return []
     words = [0]
@@ -119,7 +125,7 @@ def _held(steps: Steps, hints: list[tuple[int, int]], regions: dict[str, list[li
     story = max(regions["article"], key=count, default=body)
     story = story if 2 * count(story) > count(body) else body
 
-    def holds(h: tuple[int, int]) -> bool:
+    def holds(h: tuple[int, int, str]) -> bool:
         around = any(h[0] <= r[0] and r[1] <= h[1] for r in (body, story))
         within = any(r[0] <= h[0] and h[1] <= r[1] and 2 * count(h) > count(r) for r in (body, story))
         return not (around or within)
@@ -134,12 +140,12 @@ class _Reader:
         self.steps: Steps = []
         #: (step of a run of words, or -1 for white space; text); '' parts blocks.
         self.pieces: list[tuple[int, str]] = []
-        self.stack: list[tuple[str, bool, int, bool]] = []  # name, no content by nature, step of its hint or -1, a block of its own
+        self.stack: list[tuple[str, bool, tuple[int, str] | None, bool]] = []  # name, no content by nature, step and name of its hint, a block of its own
         self.open: Counter[str] = Counter()
         self.asides: list[str] = []
         self.blocks: list[str] = []
         self.paragraphs = [0]  # open in each scope
-        self.hints: list[tuple[int, int]] = []
+        self.hints: list[tuple[int, int, str]] = []
         self.regions: dict[str, list[list[int]]] = {"article": [], "main": []}
         self.unclosed: dict[str, list[int]] = {"article": [], "main": []}
 
@@ -149,8 +155,8 @@ class _Reader:
         self.open[tag] -= 1
         if hidden:
             self.asides.pop()
-        if hint >= 0:
-            self.hints.append((hint, len(self.steps)))
+        if hint:
+            self.hints.append((hint[0], len(self.steps), hint[1]))
         if block:
             self.blocks.pop()
         if tag == "p":
@@ -200,14 +206,13 @@ class _Reader:
             self.unclosed[tag].append(len(self.regions[tag]))
             self.regions[tag].append([len(self.steps) - 1])
         self.open[tag] += 1
-        self.stack.append((tag, hidden, len(self.steps) - 1 if named and tag not in _SENTENCES else -1, block))
+        self.stack.append((tag, hidden, (len(self.steps) - 1, named) if named and tag not in _SENTENCES else None, block))
 
 
-def read(page: str) -> tuple[Steps, list[tuple[int, str]], tuple[int, int] | None]:
-    """A page as (kind, number) steps, its pieces of text (step, text) with '' between blocks, and the marked region.
+def read(page: str) -> tuple[Steps, list[tuple[int, str]], dict[str, list[tuple[int, int]]]]:
+    """A page as (kind, number) steps, its pieces of text (step, text) with '' between blocks, and its article and main elements.
 
-    A step is a run of words of one context, or one tag. The region is (first step, last step + 1) of the only
-    ``article``, or else the only ``main``; None if there is no such element.
+    A step is a run of words of one context, or one tag. An element is (first step, last step + 1).
     """
     r = _Reader()
     at, skip = 0, None
@@ -240,15 +245,20 @@ def read(page: str) -> tuple[Steps, list[tuple[int, str]], tuple[int, int] | Non
             r.begin(tag, attributes)
     while r.stack:
         r.close()
+    # the outermost hint names a word's context: inside it nothing is looked at twice
     upto = 0
-    for first, last in sorted(_held(r.steps, r.hints, r.regions)):
+    for first, last, name in sorted(_held(r.steps, r.hints, r.regions), key=lambda h: (h[0], -h[1])):
         for i in range(max(first, upto), last):
             kind, n = r.steps[i]
             if not is_tag(kind) and not is_beside(kind):
-                r.steps[i] = (HINT, n)
+                r.steps[i] = (f"{HINT} {name}", n)
         upto = max(upto, last)
-    one = next((r.regions[t][0] for t in ("article", "main") if len(r.regions[t]) == 1), None)
-    return r.steps, r.pieces, tuple(one) if one else None
+    return r.steps, r.pieces, {t: [(a, b) for a, b in own] for t, own in r.regions.items()}
+
+
+def marked(regions: dict[str, list[tuple[int, int]]]) -> tuple[int, int] | None:
+    """What a page's author marked: the only ``article``, or else the only ``main``."""
+    return next((regions[t][0] for t in ("article", "main") if len(regions[t]) == 1), None)
 
 
 # ---------------------------------------------------------------- weights
@@ -264,7 +274,7 @@ def prior(kind: str) -> float:
     if "named" in more:
         return 0.55
     if "link" in more:
-        return 0.8 if name in _SENTENCES else 0.35
+        return 0.8 if name in _SENTENCES else 0.55 if name == "li" else 0.35
     return 0.95 if name in _SENTENCES else 0.8
 
 
@@ -290,11 +300,12 @@ class Weights(dict):
 
 def counted(page: str) -> dict[str, list[int]]:
     """For each context and tag of a page: how many stand inside and outside what its author marked; empty without a mark."""
-    steps, _, marked = read(page)
+    steps, _, regions = read(page)
     found: dict[str, list[int]] = defaultdict(lambda: [0, 0])
-    if marked:
+    own = marked(regions)
+    if own:
         for i, (kind, n) in enumerate(steps):
-            found[kind][not (marked[0] <= i < marked[1] and not is_beside(kind))] += n
+            found[kind][not own[0] <= i < own[1]] += n
     return found
 
 
@@ -335,14 +346,28 @@ def best_stretch(scores: list[float]) -> tuple[int, int]:
     return found
 
 
+def content_region(steps: Steps, scores: list[float], regions: dict[str, list[tuple[int, int]]]) -> tuple[int, int]:
+    """The best stretch, and the whole of an element with which it shares most words of both."""
+    first, last = best_stretch(scores)
+    words = [0]
+    for (kind, n), score in zip(steps, scores, strict=True):
+        words.append(words[-1] + (n if score > 0 and not is_tag(kind) else 0))
+    count = lambda a, b: words[b] - words[a] if b > a else 0
+    for a, b in (r for t in ("article", "main") for r in regions[t]):
+        shared = count(max(a, first), min(b, last))
+        if 2 * shared > count(first, last) and 2 * shared > count(a, b):
+            return min(a, first), max(b, last)
+    return first, last
+
+
 def main_text(page: str | None, weights: Weights | None = None) -> str:
     """The text of a page's content region."""
     if not page:
         return ""
     weights = Weights() if weights is None else weights
-    steps, pieces, _ = read(page)
+    steps, pieces, regions = read(page)
     scores = [weights[kind] * n for kind, n in steps]
-    first, last = best_stretch(scores)
+    first, last = content_region(steps, scores, regions)
     blocks, block, total, touched = [], [], 0.0, False
     for step, text in [*pieces, (-1, "")]:
         if step < 0 and not text:
@@ -351,7 +376,7 @@ def main_text(page: str | None, weights: Weights | None = None) -> str:
             block, total, touched = [], 0.0, False
         elif step < 0:
             block.append(text)
-        elif scores[step] > 0 or not is_beside(steps[step][0]):
+        elif scores[step] > 0 or not steps[step][0].startswith("aside"):
             block.append(text)
             total += scores[step]
             touched |= first <= step < last
