@@ -15,11 +15,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm import langid, mixing, packing, pii, simhash
+from docweave.llm import langid, mixing, near, packing, pii
 from docweave.llm.common import fresh, only_last, settle
 
-#: Words of a shingle in the near-duplicate stage.
+#: Words of a shingle, and the share of shingles in common from which on two documents are near-duplicates.
 SHINGLE = 5
+LEAST = 0.8
 
 
 def _like(docs: DataFrame, rows: DataFrame, text: Column, changed: Column) -> DataFrame:
@@ -42,9 +43,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (fingerprints of five-word shingles at four bits or fewer): that of the
-    smallest doc_id, null last, and of equal ids one."""
-    return simhash.one_of_each(docs, shingle=SHINGLE)
+    """One document of each group of near-duplicates: that of the smallest doc_id, null last, and of equal ids one.
+
+    Documents are near-duplicates whose SimHashes of five-word shingles are within four bits, or that share 0.8 of their shingles.
+    """
+    return near.one_of_each(docs, shingle=SHINGLE, least=LEAST)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -54,13 +55,23 @@ def test_language(spark, docs):
     assert all(got[r[:2]] == r[2] for r in ODD if r[:2] in got and r[2]) and got[(11, GERMAN + "ein Satz")] == "de"
 
 
+def shingle_set(t):
+    own = [w.lower() if w.isascii() else "".join(c.lower() if c.isascii() else c for c in w) for w in words(t)]
+    return {tuple(own[i : i + 5]) for i in range(max(1, len(own) - 4))} if own else set()
+
+
+def similarity(a, b):
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
 def test_near_duplicates(spark, docs):
     prints = [simhash.simhash(r[1] or "", 5) for r in ODD]
+    sets = [shingle_set(r[1]) for r in ODD]
     group = list(range(len(ODD)))
     for _ in ODD:
         for i in range(len(ODD)):
             for j in range(len(ODD)):
-                if (prints[i] ^ prints[j]).bit_count() <= 4:
+                if (prints[i] ^ prints[j]).bit_count() <= 4 or similarity(sets[i], sets[j]) >= 0.8:
                     group[i] = group[j] = min(group[i], group[j])
     want = defaultdict(list)
     for i, r in enumerate(ODD):
@@ -74,6 +85,41 @@ def test_near_duplicates(spark, docs):
     assert set(got) <= set(ODD)
 
 
+def test_similar_pairs_are_found(spark):
+    """Copies at 0.8 to 0.95 of the shingles: nine of ten or more go; documents that are less alike stay."""
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(5000)]
+    near, far, texts = Counter(), 0, []
+    for n in range(400):
+        text = [rng.choice(vocabulary) for _ in range(rng.randint(60, 500))]
+        copy = list(text)
+        for _ in range(round(len(text) * rng.choice([0.004, 0.012, 0.02, 0.03, 0.08]))):
+            copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+        texts += [(2 * n, " ".join(text)), (2 * n + 1, " ".join(copy))]
+    # a hub: a text with a hundred copies, each like it and few like each other
+    hub = [rng.choice(vocabulary) for _ in range(300)]
+    texts.append((100_000, " ".join(hub)))
+    for n in range(100):
+        copy = list(hub)
+        for at in rng.sample(range(300), 6):
+            copy[at] = rng.choice(vocabulary)
+        texts.append((100_001 + n, " ".join(copy)))
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    stay = {r["doc_id"] for r in cp.near_duplicates(spark, df, "").select("doc_id").collect()}
+    assert len([i for i in stay if i >= 100_000]) <= 10
+    sets = dict((i, shingle_set(t)) for i, t in texts if i < 100_000)
+    prints = {i: simhash.simhash(t, 5) for i, t in texts}
+    for n in range(400):
+        s = similarity(sets[2 * n], sets[2 * n + 1])
+        assert 2 * n in stay
+        if s >= 0.8:
+            near[2 * n + 1 in stay] += 1
+        elif (prints[2 * n] ^ prints[2 * n + 1]).bit_count() > 4:
+            far += 1
+            assert 2 * n + 1 in stay
+    assert far > 50 and near[False] >= 0.98 * near.total() > 100
+
+
 def test_personal_data(spark, docs):
     out = cp.personal_data(spark, docs, "")
     assert out.columns == docs.columns
