@@ -440,6 +440,22 @@ def currency_shift(spark, sf_dir):
     return orders(spark, sf_dir).select("o_orderkey", fx.moved(F.lit("Paid in EUR from Japan at USD/CHF"), customer())["text"].alias("moved"))
 
 
+@query(
+    """select o_orderkey, 4 as n_groups, 4 as n_targets, 0 as own_targets, 1 as step, 'EUR|JPY|GBP|PLN' as codes, 8 as n_hits, 'JPY' as source, true as kept from orders"""
+)
+def currency_rewrites(spark, sf_dir):
+    """Texts of several nations in other currencies, a target for each, with what moved where: MUT9."""
+    text = said("Of EUR ", key(), " and 5 euros, Tokyo in Japan paid ", customer(), " Japanese yen, London got GBP 7 and a Polish zloty")
+    rows = orders(spark, sf_dir).select("o_orderkey", "o_custkey", fx.rewritten(text, key()).alias("r"))
+    moves, new = F.col("r.moves"), F.col("r.text")
+    targets = F.transform(moves, lambda m: m["target"])
+    kept = F.contains(new, key().cast("string")) & F.contains(new, customer().cast("string")) & ~F.contains(new, F.lit("Tokyo"))
+    o = rows.select("o_orderkey", F.size(moves).alias("n_groups"), F.size(F.array_distinct(targets)).alias("n_targets"), F.size(F.filter(moves, lambda m: m["target"] == m["code"])).alias("own_targets"),
+        F.array_max(F.transform(moves, lambda m: m["step"])).alias("step"), F.array_join(F.transform(moves, lambda m: m["code"]), "|").alias("codes"),
+        F.aggregate(moves, F.lit(0), lambda n, m: n + m["n"]).alias("n_hits"), F.col("r.source").alias("source"), kept.alias("kept"))
+    return o
+
+
 @query("select o_orderkey, case when o_orderkey % 3 = 0 then '5 ' || ['employees', 'workers', 'staff', 'personnel', 'associates'][((o_orderkey % 5) + 1) % 5 + 1] when o_orderkey % 3 = 1 then '5 miners' else '5 shares' end as swapped from orders where o_orderkey % 3 <> 1")
 def worker_terms(spark, sf_dir):
     """Words for workers replaced by another of their pool: MUT10."""
