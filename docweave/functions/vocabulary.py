@@ -102,6 +102,8 @@ WORKER_POOLS = {
 DEPARTMENTS = ("research", "research and development", "engineering", "sales", "marketing", "manufacturing", "production", "operations", "administration", "finance", "accounting", "customer service", "management", "distribution", "logistics", "legal", "human resources", "information technology")
 WORK_EVENTS = ("hired", "employed", "laid off", "terminated", "recruited", "dismissed", "furloughed", "eliminated", "added", "retained")
 SITES = ("store", "office", "facility", "facilities", "plant", "warehouse", "location", "branch", "branches", "restaurant", "hotel", "factory", "factories", "mine", "site", "country", "countries", "state", "city", "cities", "market", "region", "center", "centre", "hospital", "school")
+# Words of a sentence about unions and disputes.
+UNIONS = ("union", "unions", "unionized", "non-union", "collective bargaining", "works council", "labor agreement", "work stoppage", "on strike", "lockout")
 ENTITIES = ("company", "companies", "subsidiary", "subsidiaries", "customer", "supplier", "contract", "agreement", "lawsuit", "claim", "patent", "trademark", "vessel", "aircraft", "vehicle", "loan", "director", "segment", "unit", "product", "well", "project", "member", "collective bargaining agreement", "bargaining unit", "swap", "option contract", "futures contract", "note")
 INSTRUMENTS = ("swap", "option", "futures", "forward", "bond", "note", "debenture", "warrant", "derivative", "cap", "collar", "coupon", "strike", "notional", "spot", "denominated")
 SHARES = ("share", "stock option", "option", "restricted stock unit", "RSU", "warrant", "ADS", "unit", "common stock", "preferred stock", "ordinary share")

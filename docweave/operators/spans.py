@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from docweave.functions import text as tx
 from docweave.functions import vocabulary as v
 from docweave.functions.find import find_all, let, overlap
+from docweave.functions.places import place_names
 from docweave.functions.patterns import FIGURE, NUMBER, RANGE, UNTIL, any_of
 
 KIND = "struct<start:int,end:int,label:string>"
@@ -48,6 +49,14 @@ class Extractor:
 # ---------------------------------------------------------------- context
 
 
+def in_sentence(text: Column, span: Column, pattern: str) -> Column:
+    """Whether the sentence around a span matches: up to the nearest full stops, exclamation or question marks that no digit follows."""
+    marks = r"[.!?](?!\d)"
+    head = F.element_at(F.split(F.substring(text, F.lit(1), span["start"]), marks), -1)
+    tail = F.split(F.substring(text, span["start"] + 1, F.length(text)), marks, 2)[0]
+    return F.concat(head, tail).rlike(pattern)
+
+
 def around(text: Column, span: Column, before: int, after: int) -> Column:
     start = F.greatest(span["start"] - before, F.lit(0))
     return F.substring(text, start + 1, span["end"] - start + after)
@@ -163,6 +172,14 @@ LABOR_IS = rf"(?i)\b(?:{_WORKER}|head\s?count|workforce)\s+(?:is|are|was|were|st
 LABOR_OF_WHOM = rf"(?i)\bof\s+(?:whom|these|those)\s*,?\s+{_ABOUT}{NUMBER}(?![\w%])"
 LABOR_IN_DEPARTMENT = rf"(?i)(?<![\w.,$]){NUMBER}\s+(?:are\s+|were\s+|work\s+)?in\s+(?:our\s+|the\s+)?{any_of(v.DEPARTMENTS)}\b"
 LABOR_IN_PLACE = rf"(?<![\w.,$]){NUMBER}\s+(?:are\s+|were\s+|work\s+)?(?:located\s+)?in\s+(?:the\s+)?{any_of([n[0] for n in v.NATIONS])}\b"
+#: The same where the sentence says what is counted: places of every kind, sites or workers.
+IN_PLACE = rf"(?<![\w.,$]){NUMBER}\s+(?:(?:are|were|is|was|located|based)\s+)*in\s+(?:the\s+)?{any_of(place_names())}\b"
+#: Units that bargain count as entities, though workers are named.
+BARGAINING = rf"(?i)(?<![\w.,$]){NUMBER}\s+(?:{_FEW}{_WORKER}\s+)?(?:collective\s+)?bargaining\s+units?\b"
+#: Large numbers by themselves, in sentences about workers and unions.
+ALONE = rf"(?<![\w.,$€£¥-]){NUMBER}(?![\w%.,-]|\s*(?:%|per\s?cent))"
+HEADS = 1000
+_LABOR_SENTENCE = rf"(?i)\b(?:{any_of(v.UNIONS)}|{_WORKER})\b"
 SITE = rf"(?i)(?<![\w.,$]){NUMBER}\s+{_FEW}{any_of(v.SITES)}s?\b"
 ENTITY = rf"(?i)(?<![\w.,$]){NUMBER}\s+{_FEW}{any_of(v.ENTITIES)}s?\b"
 SHARE = rf"(?i)(?<![\w.,$]){NUMBER}\s+{_FEW}{any_of(v.SHARES)}s?\b(?:\s+of\s+(?:common|preferred|ordinary|class\s+\w)\s+(?:stock|shares?))?"
@@ -240,8 +257,14 @@ def extractors(most_employees: int | None = None, firms: list[str] | None = None
             ],
         ),
         Extractor("quantity", [Rule("QUANTITY", QUANTITY), Rule("QUANTITY", QUANTITY_TOUCHING)]),
-        Extractor("location", [Rule(_worker_or("LOCATION_COUNT"), SITE, _both(_no_bare_year, lambda t, s: ~s["text"].rlike(rf"(?i)\b{_WORKER}\b")))]),
-        Extractor("entity", [Rule("ENTITY_COUNT", ENTITY, _both(_no_bare_year, _not_before_workers, lambda t, s: ~s["text"].rlike(rf"(?i)\b(?:{_WORKER}|{any_of(v.SHARES)}s?)\b")))]),
+        Extractor(
+            "location",
+            [
+                Rule(_worker_or("LOCATION_COUNT"), SITE, _both(_no_bare_year, lambda t, s: ~s["text"].rlike(rf"(?i)\b{_WORKER}\b"))),
+                Rule(_workers_there, IN_PLACE, _both(_no_bare_year, lambda t, s: in_sentence(t, s, rf"(?i)\b{any_of(v.SITES)}s?\b"))),
+            ],
+        ),
+        Extractor("entity", [Rule("ENTITY_COUNT", BARGAINING, _no_bare_year), Rule("ENTITY_COUNT", ENTITY, _both(_no_bare_year, _not_before_workers, lambda t, s: ~s["text"].rlike(rf"(?i)\b(?:{_WORKER}|{any_of(v.SHARES)}s?)\b")))]),
         Extractor("shares", [Rule(_contract_or_share, SHARE, _both(_equity, _no_bare_year))]),
         Extractor("labor", [Rule(labor, LABOR, _no_bare_year)]),
         Extractor("dates", [Rule("TIME", DATE), Rule("TIME", CLOCK)]),
@@ -253,11 +276,16 @@ def extractors(most_employees: int | None = None, firms: list[str] | None = None
                 Rule(labor, LABOR_EVENT, lambda t, s: in_clause(t, s, rf"(?i)\b(?:{_WORKER}|workforce|job|position)s?\b") | (value(s) >= 1000)),
                 Rule(labor, LABOR_IS, _no_bare_year),
                 *[Rule(labor, p, _both(_no_bare_year, _of_workers)) for p in (LABOR_OF_WHOM, LABOR_IN_DEPARTMENT, LABOR_IN_PLACE)],
+                Rule(labor, ALONE, _both(_no_bare_year, lambda t, s: value(s) >= HEADS, lambda t, s: in_sentence(t, s, _LABOR_SENTENCE)), needs=_LABOR_SENTENCE),
             ],
         ),
     ]
 
 
+def _workers_there(text: Column, span: Column) -> Column:
+    return F.when(in_sentence(text, span, rf"(?i)\b{_WORKER}\b"), "LABOR").otherwise("LOCATION_COUNT")
+
+
 def _worker_or(label: str):
     return lambda text, span: F.when(after(text, span, 24).rlike(rf"(?i)^\s+{_WORKER}\b"), "LABOR").otherwise(label)
 
