@@ -113,6 +113,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
             at = np.flatnonzero(total)
             yield pd.DataFrame({"lang": name, "bucket": at.astype(np.int32), "n": total[at]})
 
+    # at most a sum per bucket and language: 2 ** 24, whatever the corpus holds
     summed = rows.select("_l", "_t").mapInPandas(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     counts[summed["bucket"], summed["lang"].map({n: j for j, n in enumerate(names)}).to_numpy(int)] = summed["n"]
     documents = np.array([sizes[n] for n in names], float)

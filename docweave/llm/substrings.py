@@ -1,11 +1,11 @@
-"""Substring dedup over words by compaction of a sparse de Bruijn graph.
-
-Token k-mers are the graph's edges (k = 25 of the 50 words of a window). Of the k-mers of every window one is kept, its
-anchor, so the graph is sparse but every window passes an edge of it. A run of windows around an anchor is a path; where
-an edge carries one path only, however many documents follow it, the path does not branch and is decided as a whole: all
-its documents but the first repeat it. Edges with several paths are where the graph branches; there, and only there, a
-join with the documents' texts at the paths' source coordinates takes the paths apart into windows of 50 words, each of
-which is compared by itself (``docweave.llm.repeats``).
+"""Repeated passages: every window of 50 words that also starts in an earlier document, by windows hashed at anchors.
+
+The method named for this operator, compaction of a de Bruijn graph by joins, is *not* the one used here (see README for why,
+with figures): no edge is joined to the one that follows it, and no path is compacted. Of the 25-word grams of a window the
+smallest is its anchor; a run of windows around an anchor is decided as a whole where all documents that have the anchor have
+the same run, and else taken apart into windows, read from the text of one document for each different run
+(``docweave.llm.repeats``, which ``op6`` shares). Windows are equal if two 64-bit hashes are, of gram and content: words are not
+compared one by one.
 
 A word is removed if a window that covers it also starts in a document with a smaller key. Null texts have no words;
 texts of fewer words than a window lose none. Rows of equal keys don't make each other repeat. Null keys are largest.

@@ -1,11 +1,12 @@
-"""Suffix-array dedup over bytes by bucket-pointer refinement.
-
-Suffixes that agree in their first 100 bytes are sorted into the same bucket; what a text repeats shows in the order of
-its bucket. Initial buckets are those of q-grams (32 bytes), taken at the anchors of the 100-byte strings (the smallest
-q-gram of each, so every string has its anchor at the same place wherever it occurs). Buckets of one member end there.
-The others are refined by sorting on identifiers at later offsets: first of all that a run of strings around the anchor
-spans, then, for runs whose bucket still holds several, of parts of eight strings and at last of each single string; a
-refined bucket is the parent for the next sort (``docweave.llm.repeats``). Sorting deeper than 100 bytes would decide nothing, so refinement ends there.
+"""Repeated bytes: every 100-byte string that also starts earlier, by windows hashed at anchors.
+
+The method named for this operator, bucket-pointer refinement, is *not* the one used here (see README for why, with figures):
+no bucket gets identifiers that the sorting of other suffixes looks up at a later offset. What is kept of it is the refinement
+of buckets. The strings are bucketed by the 32-byte gram at their anchor (the smallest q-gram of each, so every string has
+its anchor at the same place wherever it occurs); buckets of one member end there; the others are refined by fresh hashes of
+what a run of strings around the anchor covers, then of parts of eight strings, and at last of single strings
+(``docweave.llm.repeats``, which ``op9`` shares). Strings are equal if two 64-bit hashes are, of gram and content: bytes are not
+compared one by one.
 
 A byte is removed if a 100-byte string that covers it also starts earlier: in a document with a smaller key, or earlier
 in the same. Strings are judged on the input. Null texts are empty; texts shorter than 100 bytes lose nothing. Rows of
