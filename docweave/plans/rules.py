@@ -446,7 +446,8 @@ def currency_shift(spark, sf_dir):
 def currency_rewrites(spark, sf_dir):
     """Texts of several nations in other currencies, a target for each, with what moved where: MUT9."""
     text = said("Of EUR ", key(), " and 5 euros, Tokyo in Japan paid ", customer(), " Japanese yen, London got GBP 7 and a Polish zloty")
-    rows = orders(spark, sf_dir).select("o_orderkey", "o_custkey", fx.rewritten(text, key()).alias("r"))
+    spread = orders(spark, sf_dir).repartition(4 * spark.sparkContext.defaultParallelism)
+    rows = spread.select("o_orderkey", "o_custkey", fx.rewritten(text, key()).alias("r"))
     moves, new = F.col("r.moves"), F.col("r.text")
     targets = F.transform(moves, lambda m: m["target"])
     kept = F.contains(new, key().cast("string")) & F.contains(new, customer().cast("string")) & ~F.contains(new, F.lit("Tokyo"))
