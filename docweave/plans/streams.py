@@ -104,7 +104,7 @@ def event_windows(spark, sf_dir):
     # one file after the other: two halves, rows that come far too late, and one row that lets time pass
     for part in (e.where(F.col("ts") < half), e.where(F.col("ts") >= half), e.where(_LATE), clock):
         part.coalesce(1).write.mode("append").parquet(landed_at)
-    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(landed_at)
+    stream = retries.session(spark).readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(landed_at)
     made = None
     sums = (F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
     for kind, window, name in (

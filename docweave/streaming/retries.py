@@ -101,8 +101,12 @@ class Retries(StatefulProcessor):
 
 
 def session(spark: SparkSession) -> SparkSession:
-    """A session whose streams keep state in RocksDB, which state machines need; the caller's own stays as it is."""
+    """A session whose streams keep state in RocksDB, which state machines need; the caller's own stays as it is.
+
+    State has as many partitions as the caller's shuffles, but no more than two for each core: each is a store of its own.
+    """
     own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", str(min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)))
     own.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)
     return own
 

@@ -36,6 +36,22 @@ def test_fuzzy_misses_no_pair(spark, least):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_fuzzy_names_against_all_pairs(spark, small):
+    """The registered query, whole: every pair of the small table's names."""
+    from docweave.plans import storage
+
+    got = {(r["candidate"], r["name"], round(r["ratio"], 9)) for r in storage.fuzzy_names(spark, small).collect()}
+    p = spark.read.parquet(f"{small}/part.parquet").select(F.concat_ws(" ", "p_name", "p_type", "p_brand").alias("name")).distinct()
+    typed = p.select(F.regexp_replace(F.regexp_replace("name", "e", ""), "Brand", "brnd").alias("candidate")).where(F.xxhash64("candidate") % 2 == 0)
+    want = set()
+    for a in {r["candidate"] for r in typed.collect()}:
+        for b in {r["name"] for r in p.collect()}:
+            ratio = difflib.SequenceMatcher(None, a.lower(), b.lower()).ratio()
+            if ratio >= 0.9:
+                want.add((a, b, round(ratio, 9)))
+    assert got == want and len(want) > 100
+
+
 def test_progress(spark, tmp_path):
     log = ProgressLog()
     spark.streams.addListener(log)
