@@ -35,8 +35,9 @@ def odd(spark, tmp_path_factory):
 
 
 @pytest.fixture(scope="module")
-def empty(spark, odd, tmp_path_factory):
+def empty(spark, odd, small, tmp_path_factory):
     at = str(tmp_path_factory.mktemp("empty"))
+    spark.read.parquet(f"{small}/embeddings.parquet").limit(0).write.parquet(f"{at}/embeddings.parquet")
     for t in TABLES:
         spark.read.parquet(f"{odd}/{t}.parquet").limit(0).write.parquet(f"{at}/{t}.parquet")
     return at
