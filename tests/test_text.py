@@ -94,3 +94,17 @@ def test_strata_smaller_than_their_quota(spark):
     got = corpus.stratify(df, F.col("s"), 60, 1, "id").groupBy("s").count().collect()
     assert {r["s"]: r["count"] for r in got} == {None: 3, "a": 7, "b": 50}
     assert corpus.stratify(df, F.col("s"), 500, 1, "id").count() == 100 and corpus.stratify(df.limit(0), F.col("s"), 5, 1, "id").count() == 0
+
+
+def test_alternations_share_beginnings():
+    import re
+
+    from docweave.functions import vocabulary as v
+    from docweave.functions.patterns import any_of, ordered
+
+    assert any_of(["abd", "abc"]) == "(?:ab(?:d|c))"
+    for terms in (["Ab", "a", "Abd", "ab", "A b", "A  b c", "AB"], ["a", "ab", "abc", "abd", "b"], v.STANDARDS, v.WORKERS, [n[0] for n in v.NATIONS]):
+        plain = "|".join(re.sub(r"(?:\\?\s)+", r"\\s+", re.escape(t)) for t in ordered(terms))
+        text = " ".join(f"{t} {t.lower()}s {t.upper()} {t[:3]} {t}x" for t in terms)
+        for flags in ("", "(?i)"):
+            assert [m.span() for m in re.finditer(f"{flags}{any_of(terms)}", text)] == [m.span() for m in re.finditer(f"{flags}(?:{plain})", text)]
