@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import glob
+import re
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from docweave import plans
+from docweave.functions import filings
 from docweave.operators import filing, html, repair
+from docweave.sources import tables as sources
+from docweave.streaming import ingest
 
 
 def times(column, part: str) -> int:
@@ -16,10 +21,11 @@ def times(column, part: str) -> int:
     return column._jc.toString().count(part)
 
 
-@pytest.mark.parametrize("name", ["contents_and_boundary", "sparse_columns"])
-def test_rows_are_dealt_to_all_cores(spark, small, name):
+@pytest.mark.parametrize(("name", "key"), [("contents_and_boundary", "o_orderkey"), ("sparse_columns", "o_orderkey"), ("home_country", "c_custkey")])
+def test_rows_are_dealt_to_all_cores(spark, small, name, key):
     """One small file is one task, however much work its rows are."""
-    assert "Exchange hashpartitioning(o_orderkey" in plans.queries()[name](spark, small)._jdf.queryExecution().executedPlan().toString()
+    cores = 4 * spark.sparkContext.defaultParallelism
+    assert re.search(rf"Exchange hashpartitioning\({key}#\d+L?, {cores}\), REPARTITION_BY_NUM",  plans.queries()[name](spark, small)._jdf.queryExecution().executedPlan().toString())
 
 
 def test_match_keys_of_a_contents_table_are_made_once():
@@ -56,3 +62,37 @@ def test_pages_become_the_same_parts_whatever_tags_have(spark):
     assert found[:2] == [None, []]
     assert found[2] == [{"text": "one", "caption": None, "rows": None}, {"text": None, "caption": None, "rows": [[cell("a", True), cell("b")], [cell("c"), cell("d")]]}]
     assert found[3][0] == {"text": "two", "caption": None, "rows": None}
+
+
+def test_pages_of_a_micro_batch_are_dealt_to_all_cores(spark, tmp_path):
+    """One landed file is parsed by as many tasks as there are cores, each of which writes a file."""
+    pages = spark.range(400).select("id", F.repeat(F.lit("It tells at length what it did. "), 10).alias("raw"))
+    pages.coalesce(1).write.parquet(f"{tmp_path}/landed")
+    ingest.ingest(ingest.pages(spark, f"{tmp_path}/landed", "id bigint, raw string"), "id", "raw", f"{tmp_path}/to", f"{tmp_path}/at").awaitTermination()
+    assert len(glob.glob(f"{tmp_path}/to/batch=0/*.parquet")) == spark.sparkContext.defaultParallelism
+    assert spark.read.parquet(f"{tmp_path}/to").count() == 400
+
+
+@pytest.mark.parametrize("n", [0, 1, 999, 1000, 4321, 70_000])
+def test_merged_chunks_are_full_files_written_by_a_few_tasks(spark, tmp_path, n):
+    """All files but one have the rows asked for, and the writers are bounded by the cores, not by the files."""
+    sources.write_chunks(spark.range(n, numPartitions=3), f"{tmp_path}/chunks", 300)
+    sources.merge_chunks(spark, f"{tmp_path}/chunks", f"{tmp_path}/to", (), 1000)
+    merged = spark.read.parquet(f"{tmp_path}/to")
+    assert (merged.count(), merged.distinct().count()) == (n, n)
+    sizes = sorted(r["count"] for r in merged.groupBy(F.input_file_name()).count().collect())
+    assert len(sizes) == -(-n // 1000) and all(s == 1000 for s in sizes[1:])
+    writers = {f.rsplit("/part-", 1)[1].split("-")[0] for f in glob.glob(f"{tmp_path}/to/*.parquet")}
+    assert len(writers) <= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_each_cue_of_a_country_holds_one_of_its_words(spark):
+    """A cue's words stand for its pattern, whatever the case, so no match is lost."""
+    said = ("Jurisdiction of incorporation or organization", "home  country", "Headquartered in", "incorporated in", "DOMICILE", "domiciled", "principal place of business", "corporate headquarters", "reporting currency",
+            "Address of principal executive offices", "executive office", "registered office", "Companies Act 2006", "laws of England and Wales", "company law", "Company laws")
+    place = lambda n: F.array(F.struct((n + 1).alias("start"), (n + 7).alias("end"), F.lit("FR").alias("code")))
+    rows = spark.createDataFrame([(f"{s} France",) for s in said], "t string").withColumn("at", F.length("t") - 7)
+    got = rows.select("t", F.size(filings.country_scores(F.col("t"), place(F.col("at")))).alias("n")).collect()
+    assert all(r["n"] >= 1 for r in got), [r["t"] for r in got if r["n"] < 1]
+    plan = rows.select(filings.country_scores(F.col("t"), place(F.col("at"))))._jdf.queryExecution().optimizedPlan().toString()
+    assert all(f", {w})" in plan for _, _, words in filings.COUNTRY_CUES for w in words)
