@@ -21,6 +21,11 @@ def parsed(pages: DataFrame, key: str, raw: str) -> DataFrame:
     return pages.where(dc.long_enough(F.col(raw))).select(key, dc.blocks_of(F.col(raw)).alias("documents")).where(F.size("documents") > 0)
 
 
+def dealt(batch: DataFrame, key: str) -> DataFrame:
+    """A micro-batch's pages on all cores: its files are few, and a file is often one task, however many pages it has."""
+    return batch.repartition(batch.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def pages(spark: SparkSession, path: str, schema: StructType | str, files: int = 100) -> DataFrame:
     """A stream of landed Parquet pages, so many files a batch."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
@@ -30,7 +35,7 @@ def ingest(stream: DataFrame, key: str, raw: str, table: str, checkpoint: str, i
     """Start writing the stream's blocks to ``table``; without an ``interval`` what has landed is taken and the query ends."""
 
     def write(batch: DataFrame, number: int) -> None:
-        parsed(batch, key, raw).write.mode("overwrite").parquet(f"{table}/batch={number}")
+        parsed(dealt(batch, key), key, raw).write.mode("overwrite").parquet(f"{table}/batch={number}")
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
@@ -40,7 +45,7 @@ def ingest_into(stream: DataFrame, key: str, raw: str, store: Store, checkpoint:
     """As ``ingest``, into a keyed store, which is compacted after so many batches: what readers merge stays bounded."""
 
     def write(batch: DataFrame, number: int) -> None:
-        store.append(parsed(batch, key, raw), number)
+        store.append(parsed(dealt(batch, key), key, raw), number)
         if len(store.version()["batches"]) >= compact_every:
             store.compact()
 
