@@ -50,7 +50,8 @@ def manifest_of_parquet(spark, sf_dir):
 def merged_chunks(spark, sf_dir):
     """Chunks of bounded size, merged without debugging columns into files of a thousand rows: SNK4, SNK6, SNK7, FLT7."""
     chunks, to = scratch.folder(spark, "chunks"), scratch.folder(spark, "merged")
-    o = orders(spark, sf_dir).select("o_orderkey", "o_custkey", F.lit("why").alias("debug"))
+    spread = orders(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
+    o = spread.select("o_orderkey", "o_custkey", F.lit("why").alias("debug"))
     sources.write_chunks(o.where("o_orderkey % 2 = 0"), chunks, 300)
     sources.write_chunks(o.where("o_orderkey % 2 = 1"), chunks, 300)
     sources.merge_chunks(spark, chunks, to, ("debug",), 1000)

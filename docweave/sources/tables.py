@@ -81,9 +81,25 @@ def write_chunks(df: DataFrame, path: str, rows: int) -> None:
 
 
 def merge_chunks(spark: SparkSession, path: str, to: str, drop: tuple[str, ...] = (), rows: int = 1_000_000) -> None:
-    """Chunks as files of about so many rows, without columns kept for debugging. As many tasks write as there are files."""
+    """Chunks as files of so many rows (one has the rest), without columns kept for debugging.
+
+    Rows are numbered as they are read: by the task's place, from what the tasks before it have, and their own. Each writing task
+    gets whole files of them, some for each core and not one task for each file.
+    """
     found = spark.read.parquet(path).drop(*drop)
-    found.repartition(max(1, -(-found.count() // rows))).write.mode("overwrite").parquet(to)
+    read = found.withColumn("_task", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    # a row for each task that reads: a few thousand, however many rows there are
+    counts = sorted(read.groupBy("_task").count().collect())
+    total, starts = 0, []
+    for task, count in counts:
+        starts.append((task, total))
+        total += count
+    files = max(1, -(-total // rows))
+    writers = min(files, 2 * spark.sparkContext.defaultParallelism)
+    each = -(-files // writers) * rows
+    before = F.broadcast(spark.createDataFrame(starts, "_task int, _before long"))
+    dealt = read.join(before, "_task").withColumn("_to", F.floor((F.col("_before") + F.col("_row")) / each).cast("int"))
+    dealt.repartitionById(writers, "_to").drop("_task", "_row", "_before", "_to").write.mode("overwrite").option("maxRecordsPerFile", rows).parquet(to)
 
 
 def export(path: str, **named: DataFrame) -> None:
