@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from docweave import plans
 from docweave.functions import filings
+from docweave.functions.find import find_all
 from docweave.operators import filing, html, repair
 from docweave.sources import tables as sources
 from docweave.streaming import ingest
@@ -28,11 +29,11 @@ def test_rows_are_dealt_to_all_cores(spark, small, name, key):
     assert re.search(rf"Exchange hashpartitioning\({key}#\d+L?, {cores}\), REPARTITION_BY_NUM",  plans.queries()[name](spark, small)._jdf.queryExecution().executedPlan().toString())
 
 
-def test_match_keys_of_a_contents_table_are_made_once():
+def test_match_keys_of_a_contents_table_are_made_once(spark):
     assert times(filing.without_contents(F.col("b")), "[^a-z0-9]+") == 2
 
 
-def test_columns_of_a_sparse_table_are_judged_once():
+def test_columns_of_a_sparse_table_are_judged_once(spark):
     assert times(repair.merged_sparse(F.col("r")), r"^[$") == 1
 
 
@@ -96,3 +97,10 @@ def test_each_cue_of_a_country_holds_one_of_its_words(spark):
     assert all(r["n"] >= 1 for r in got), [r["t"] for r in got if r["n"] < 1]
     plan = rows.select(filings.country_scores(F.col("t"), place(F.col("at"))))._jdf.queryExecution().optimizedPlan().toString()
     assert all(f", {w})" in plan for _, _, words in filings.COUNTRY_CUES for w in words)
+
+
+def test_the_year_of_a_report_is_searched_for_once(spark):
+    """A head's dates are found once, whatever is asked of the first; before, once for each question."""
+    for pattern, part in ((filings.ANNUAL_REPORT, "ANNUAL"), (filings.YEAR_ENDED, "(?i)year")):
+        once = times(find_all(F.col("t"), pattern), part)
+        assert 0 < once == times(filings.report_year(F.col("t"), F.col("n")), part)
