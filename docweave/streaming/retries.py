@@ -23,9 +23,10 @@ where it was. State is a few numbers per key; a finished key keeps its own so th
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
@@ -37,22 +38,23 @@ FOUND, MISSING = 200, 404
 ADDRESSES = 2
 OUTCOME = "address int, attempt int, status int, body string, at timestamp"
 ANSWER = "kind string, address int, attempt int, due timestamp, body string, reason string"
+#: The same as the machine gives it: times are milliseconds there.
+_SAID = ("kind", "address", "attempt", "due", "body", "reason")
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class Retries(StatefulProcessor):
     def __init__(self, key: str, most: int = MOST, pause: int = PAUSE, patience: int = PATIENCE):
-        self.key, self.most, self.pause, self.patience = key, most, pause, patience
+        self.row, self.most, self.pause, self.patience = Row(key, *_SAID), most, pause, patience
 
     def init(self, handle) -> None:
         self.handle = handle
         self.state = handle.getValueState("page", "address int, attempt int, deadline long, closed boolean")
 
-    def _row(self, key, kind: str, address: int, attempt: int, due: int | None = None, body: str | None = None, reason: str | None = None) -> pd.DataFrame:
-        values = {self.key: key[0], "kind": kind, "address": address, "attempt": attempt, "due": pd.Timestamp(due, unit="ms") if due is not None else pd.NaT, "body": body, "reason": reason}
-        return pd.DataFrame([values]).astype({"address": "int32", "attempt": "int32", "due": "datetime64[ns]"})
+    def _row(self, key, kind: str, address: int, attempt: int, due: int | None = None, body: str | None = None, reason: str | None = None) -> Row:
+        return self.row(key[0], kind, address, attempt, due, body, reason)
 
-    def _open(self, key, address: int, attempt: int, now: int) -> pd.DataFrame:
+    def _open(self, key, address: int, attempt: int, now: int) -> Row:
         """Open a request: the n-th at an address waits twice as long as the one before."""
         due = now + (self.pause * 1000 * 2 ** (attempt - 2) if attempt > 1 else 0)
         deadline = due + self.patience * 1000
@@ -60,11 +62,11 @@ class Retries(StatefulProcessor):
         self.handle.registerTimer(deadline)
         return self._row(key, "request", address, attempt, due)
 
-    def _close(self, key, kind: str, address: int, attempt: int, **what) -> pd.DataFrame:
+    def _close(self, key, kind: str, address: int, attempt: int, **what) -> Row:
         self.state.update((address, attempt, 0, True))
         return self._row(key, kind, address, attempt, **what)
 
-    def _next(self, key, address: int, attempt: int, status: int | None, body: str | None, now: int) -> pd.DataFrame:
+    def _next(self, key, address: int, attempt: int, status: int | None, body: str | None, now: int) -> Row:
         """What follows an open request's outcome."""
         if status == FOUND and body:
             return self._close(key, "done", address, attempt, body=body)
@@ -75,24 +77,25 @@ class Retries(StatefulProcessor):
             return self._open(key, address + 1, 1, now)
         return self._close(key, "dead", address, attempt, reason="missing" if gone else "exhausted")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         # the outcomes of one key in one batch are a few: at most its requests, and repeats of them
-        met = pd.concat(list(rows)).sort_values(["address", "attempt", "at"])
-        for r in met.itertuples(index=False):
-            now, status = int(r.at.timestamp() * 1000), None if pd.isna(r.status) else int(r.status)
-            if not self.state.exists():
+        met = sorted(rows, key=lambda r: (r.address is None, r.address or 0, r.attempt is None, r.attempt or 0, r.now))
+        for r in met:
+            state = self.state.get()
+            if state is None:
                 if r.attempt == 0:
-                    yield self._open(key, 0, 1, now)
+                    yield self._open(key, 0, 1, r.now)
                 continue
-            address, attempt, deadline, closed = self.state.get()
+            address, attempt, deadline, closed = state
             if closed or (r.address, r.attempt) != (address, attempt):
                 continue
             self.handle.deleteTimer(deadline)
-            yield self._next(key, address, attempt, status, r.body if isinstance(r.body, str) else None, now)
+            yield self._next(key, address, attempt, r.status, r.body, r.now)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.state.exists():
-            address, attempt, deadline, closed = self.state.get()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        state = self.state.get()
+        if state is not None:
+            address, attempt, deadline, closed = state
             if not closed and deadline <= expiredTimerInfo.getExpiryTimeInMs():
                 yield self._next(key, address, attempt, None, None, deadline)
 
@@ -116,9 +119,11 @@ def machine(outcomes: DataFrame, key: str, most: int = MOST, pause: int = PAUSE,
 
     An outcome of attempt 0 asks for a page. Rows without a key are dropped: there is nothing to come back to.
     """
-    stream = outcomes.where(F.col(key).isNotNull()).select(key, "address", "attempt", "status", "body", "at").withWatermark("at", late)
+    stream = outcomes.where(F.col(key).isNotNull()).select(key, "address", "attempt", "status", "body", F.unix_millis("at").alias("now"), "at").withWatermark("at", late)
     kind = dict(outcomes.dtypes)[key]
-    return stream.groupBy(key).transformWithStateInPandas(Retries(key, most, pause, patience), f"`{key}` {kind}, {ANSWER}", "Append", "EventTime")
+    said = ANSWER.replace("due timestamp", "due long")
+    made = stream.groupBy(key).transformWithState(Retries(key, most, pause, patience), f"`{key}` {kind}, {said}", "Append", "EventTime")
+    return made.withColumn("due", F.timestamp_millis("due"))
 
 
 def take_in(spark: SparkSession, folder: str, key: str, kind: str, **limits) -> None:
@@ -149,6 +154,9 @@ def crawl(spark: SparkSession, wanted: DataFrame, responses: DataFrame, key: str
         said = answers(spark, folder, key, kind)
         told = spark.read.schema(f"`{key}` {kind}, {OUTCOME}").parquet(f"{folder}/outcomes").select(key, "address", "attempt")
         asked = said.where("kind = 'request'").select(key, "address", "attempt", F.col("due").alias("at")).join(told, [key, "address", "attempt"], "left_anti")
-        if asked.isEmpty():
+        # a round asks for a few of the places at which a page may be, so only what was answered there has to be shuffled, text and all
+        places = asked.select("address", "attempt").distinct().collect()
+        if not places:
             return said
-        asked.join(responses, [key, "address", "attempt"], "left").select(columns).write.mode("append").parquet(f"{folder}/outcomes")
+        there = reduce(or_, ((F.col("address") == r["address"]) & (F.col("attempt") == r["attempt"]) for r in places))
+        asked.join(responses.where(there), [key, "address", "attempt"], "left").select(columns).write.mode("append").parquet(f"{folder}/outcomes")

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from docweave.streaming import retries
@@ -62,3 +64,59 @@ def test_a_stopped_crawl_goes_on(spark, tmp_path, monkeypatch):
         retries.crawl(spark, wanted, responses, "k", f"{tmp_path}/parts")
     again = sorted(map(tuple, retries.crawl(spark, wanted, responses, "k", f"{tmp_path}/parts").collect()), key=str)
     assert again == whole and {r[1] for r in whole} == {"request", "done", "dead"}
+
+
+class Handle:
+    """A handle of state for one key after the other, without Spark."""
+
+    def __init__(self):
+        self.kept, self.key, self.timers = {}, None, set()
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        return self.kept.get(self.key)
+
+    def exists(self):
+        return self.key in self.kept
+
+    def update(self, value):
+        self.kept[self.key] = value
+
+    def registerTimer(self, at):
+        self.timers.add((self.key, at))
+
+    def deleteTimer(self, at):
+        self.timers.remove((self.key, at))
+
+
+def test_an_outcome_is_little_work(spark):
+    """The machine takes and gives rows: 20,000 outcomes take far less than the minute that a table for each of them took."""
+    handle, made = Handle(), retries.Retries("k")
+    made.init(handle)
+    began, found = time.time(), []
+    for key in range(10_000):
+        handle.key = key
+        for attempt, status, body in ((0, None, None), (1, 200, "text")):
+            found += made.handleInputRows((key,), iter([Row(k=key, address=0, attempt=attempt, status=status, body=body, now=1000 + attempt)]), None)
+    assert time.time() - began < 10
+    assert len(found) == 20_000 and [tuple(r) for r in found[:2]] == [(0, "request", 0, 1, 1000, None, None), (0, "done", 0, 1, None, "text", None)]
+    assert handle.timers == set() and all(closed for *_, closed in handle.kept.values())
+
+
+def test_a_round_reads_only_what_was_answered_where_it_asks(spark, tmp_path):
+    """Every page fails everywhere, so each of six rounds asks at one place: a response's text is made once, not in every round."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(key):
+        made.add(1)
+        return f"page {key}"
+
+    wanted = spark.createDataFrame([(i, at(i)) for i in range(12)], "k long, at timestamp")
+    tried = wanted.select("k", F.explode(F.sequence(F.lit(0), F.lit(1))).alias("address")).select("*", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("attempt"))
+    responses = tried.select("k", "address", "attempt", F.lit(503).alias("status"), text("k").alias("body"))
+    said = retries.crawl(spark, wanted, responses, "k", str(tmp_path)).collect()
+    assert len([r for r in said if r["kind"] == "request"]) == 72 and len([r for r in said if r["kind"] == "dead" and r["reason"] == "exhausted"]) == 12
+    assert made.value == 72
