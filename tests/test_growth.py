@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from docweave import plans
 from docweave.functions import filings
 from docweave.functions.find import find_all
-from docweave.operators import filing, html, repair
+from docweave.operators import dictionary, filing, html, repair
 from docweave.sources import tables as sources
 from docweave.streaming import ingest
 
@@ -104,3 +104,15 @@ def test_the_year_of_a_report_is_searched_for_once(spark):
     for pattern, part in ((filings.ANNUAL_REPORT, "ANNUAL"), (filings.YEAR_ENDED, "(?i)year")):
         once = times(find_all(F.col("t"), pattern), part)
         assert 0 < once == times(filings.report_year(F.col("t"), F.col("n")), part)
+
+
+def test_near_names_are_read_and_keyed_once(spark):
+    """Rows of the input are made distinct before anything is made of them: 20 names in 200,000 rows are the work of 20 names."""
+    rows = spark.range(200_000).select(F.concat(F.lit("Consolidated Steel Company of Town "), F.col("id") % 20).alias("name"))
+    began = time.time()
+    found = dictionary.fuzzy(rows.select(F.regexp_replace("name", "Town", "Tow").alias("candidate")), rows, "candidate", "name", 0.95)
+    got = {(r["candidate"], r["name"]) for r in found.collect()}
+    assert {(f"Consolidated Steel Company of Tow {n}", f"Consolidated Steel Company of Town {n}") for n in range(20)} <= got
+    assert time.time() - began < 40
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Range (" not in plan and plan.count("ArrowEvalPython") == plan.count("Initial Plan") + 1
